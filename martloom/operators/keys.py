@@ -37,18 +37,15 @@ def assign_keys(
         .withColumn("_slot", F.monotonically_increasing_id()),
         "keys",
     )
-    task = F.shiftright("_slot", _TASK_SHIFT)
-    counts = sorted(placed.groupBy(task.alias("task")).count().collect())
-    before = accumulate([start] + [n for _, n in counts])
-    base = F.broadcast(
-        df.sparkSession.createDataFrame(
-            [(t, b) for (t, _), b in zip(counts, before)], "_task long, _before long"
-        )
-    )
+    task = F.shiftright("_slot", _TASK_SHIFT).cast("int")
+    counts = dict(map(tuple, placed.groupBy(task.alias("task")).count().collect()))
+    sizes = [counts.get(t, 0) for t in range(max(counts, default=0) + 1)]
+    # one number per task, kept in the expression: the result then has the size statistics of
+    # the written table, by which later joins decide whether to broadcast it
+    before = F.split(F.lit(",".join(map(str, accumulate([start, *sizes])))), ",")
+    base = F.get(before.cast("array<bigint>"), task)
     within = F.col("_slot").bitwiseAND(F.lit((1 << _TASK_SHIFT) - 1))
-    return placed.join(base, task == F.col("_task")).select(
-        (F.col("_before") + within + 1).cast(key_type).alias(key), *df.columns
-    )
+    return placed.select((base + within + 1).cast(key_type).alias(key), *df.columns)
 
 
 def last_key(existing: DataFrame | None, key: str) -> int:
