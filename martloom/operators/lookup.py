@@ -12,7 +12,8 @@ def translate_category(
     products: DataFrame, translation: DataFrame, on: str = "product_category_name"
 ) -> DataFrame:
     """Products with the English name of their category; unknown categories drop out."""
-    return products.join(translation, on, "inner")
+    names = [c for c in translation.columns if c != on]
+    return products.join(translation, on, "inner").select(*products.columns, *names)
 
 
 def lookup_key(

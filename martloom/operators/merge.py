@@ -12,7 +12,8 @@ from martloom.operators.rows import keep_latest, smallest_per_key
 
 def new_rows(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key of `src` that `target` does not hold; the smallest where keys repeat."""
-    return smallest_per_key(src, keys).join(target.select(*keys), list(keys), "left_anti")
+    fresh = smallest_per_key(src, keys).join(target.select(*keys), list(keys), "left_anti")
+    return fresh.select(*src.columns)
 
 
 def insert_if_absent(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,9 +43,7 @@ def update_matched(
     target: DataFrame, src: DataFrame, keys: Sequence[str], set_cols: Sequence[str]
 ) -> DataFrame:
     """All target rows; those with a row in `src` (unique keys) take its `set_cols`."""
-    given = src.select(
-        *keys, F.struct(*set_cols).alias("_new")
-    )
+    given = src.select(*keys, F.struct(*set_cols).alias("_new"))
     return target.join(given, list(keys), "left").select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
@@ -108,4 +107,5 @@ def apply_changes(
     """Fold change rows into `target`; of a delete row only the key columns are read."""
     last = latest_changes(changes, keys, seq, op)
     untouched = target.join(last.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(last.where(F.col(op) != delete).select(*target.columns))
+    alive = last.where(F.col(op) != delete)
+    return untouched.select(*target.columns).unionByName(alive.select(*target.columns))

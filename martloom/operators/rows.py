@@ -53,7 +53,7 @@ def keep_known(df: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFrame:
     `spark.sql.autoBroadcastJoinThreshold`; beyond that both sides are shuffled and a hot key of
     `df` is split by the adaptive skew join, which may split the left side of a semi join.
     """
-    return df.join(ref.select(*on), list(on), "left_semi")
+    return df.join(ref.select(*on), list(on), "left_semi").select(*df.columns)
 
 
 def cascade_prune(

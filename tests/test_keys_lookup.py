@@ -1,0 +1,124 @@
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.operators import lookup as L
+from martloom.operators.keys import assign_keys, stable_keys
+from martloom.operators.rows import keep_known
+
+
+def test_keys_are_dense_and_ordered(spark):
+    df = spark.range(0, 5000, 1, 6).select(F.sha2(F.col("id").cast("string"), 256).alias("n"))
+    for partitions in (None, 1, 13):
+        keyed = assign_keys(df, ["n"], "k", partitions=partitions).orderBy("n").collect()
+        assert [r.k for r in keyed] == list(range(1, 5001))
+
+
+def test_keys_of_few_rows(rows):
+    one = rows([("a", 1)], "n string, v int")
+    assert [tuple(r) for r in assign_keys(one, ["n"], "k", partitions=8).collect()] == [(1, "a", 1)]
+    assert assign_keys(one.where("1 = 0"), ["n"], "k").count() == 0
+
+
+def test_keys_put_null_first(rows):
+    df = rows([("b", 1.0), ("b", None), ("a", 2.0)], "n string, x double")
+    found = {(r.n, r.x): r.k for r in assign_keys(df, ["n", "x"], "k").collect()}
+    assert found == {("a", 2.0): 1, ("b", None): 2, ("b", 1.0): 3}
+
+
+def test_keys_do_not_change_when_read_again(spark):
+    keyed = assign_keys(spark.range(1000).select(F.rand(1).alias("n")), ["n"], "k")
+    assert keyed.collect() == keyed.collect()
+
+
+def test_int_keys_do_not_wrap(rows):
+    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+        assign_keys(rows([("a",)], "n string"), ["n"], "k", start=2**31 - 1).collect()
+
+
+def test_stable_keys(rows):
+    existing = rows([(4, "m"), (9, "c")], "k int, n string")
+    df = rows([("c",), ("a",), ("z",), ("a",)], "n string")
+    for _ in range(2):
+        existing = stable_keys(df, ["n"], "k", existing=existing)
+        assert {r.n: r.k for r in existing.collect()} == {"m": 4, "c": 9, "a": 10, "z": 11}
+
+
+def test_key_assignment_has_no_single_task_sort(spark):
+    keyed = assign_keys(spark.range(1000).select(F.col("id").alias("n")), ["n"], "k")
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_translate_drops_unknown(rows):
+    products = rows([("p1", "a"), ("p2", "x"), ("p3", None)], "id string, c string")
+    names = rows([("a", "A")], "c string, e string")
+    assert [r.id for r in L.translate_category(products, names, "c").collect()] == ["p1"]
+
+
+def test_lookup_key(rows):
+    df = rows([(1, "a"), (2, "b"), (3, None)], "id int, ref string")
+    dim = rows([(10, "a", "other")], "key int, nat string, more string")
+    left = L.lookup_key(df, dim, "nat", "key", on="ref", how="left")
+    assert {r.id: r.key for r in left.collect()} == {1: 10, 2: None, 3: None}
+    assert [r.id for r in L.lookup_key(df, dim, "nat", "key", on="ref").collect()] == [1]
+
+
+def test_children(rows):
+    parent = rows([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
+    child = rows([(1, "x", 5), (1, "y", 6), (9, "z", 7), (None, "n", 8)], "ref int, name string, v int")
+    pairs = L.with_children(parent, child, "id", child_on="ref")
+    assert pairs.columns == ["id", "name", "child_name", "v"]
+    assert sorted(map(tuple, pairs.collect()), key=repr) == [
+        (1, "a", "x", 5),
+        (1, "a", "y", 6),
+        (2, "b", None, None),
+        (3, "c", None, None),
+    ]
+    counts = L.with_child_counts(parent, child, "id", "n", child_on="ref")
+    assert {r.id: r.n for r in counts.collect()} == {1: 2, 2: 0, 3: 0}
+
+
+def test_single_child(rows):
+    parent = rows([(1,), (2,)], "id int")
+    child = rows([(1, "x")], "id int, v string")
+    one = L.with_single_child(parent, child, "id", ["v"])
+    assert {r.id: r.v for r in one.collect()} == {1: "x", 2: None}
+    with pytest.raises(Exception, match="more than one child for 1"):
+        L.with_single_child(parent, child.union(child), "id", ["v"]).collect()
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Small data behaves like large: no broadcast, low limits for a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_key_is_split(spark, shuffled_joins):
+    hot = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("string").alias("ref"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    dim = spark.range(1000).select(
+        F.col("id").cast("int").alias("key"), F.col("id").cast("string").alias("ref")
+    )
+    for joined in (
+        L.lookup_key(hot, dim, "ref", "key"),
+        L.lookup_key(hot, dim, "ref", "key", how="left"),
+        keep_known(hot, dim, ["ref"]),
+        L.with_children(dim, hot, "ref"),
+    ):
+        assert len(joined.collect()) == 60000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan

@@ -1,0 +1,92 @@
+import math
+
+import numpy as np
+import pytest
+
+from martloom.operators import score as S
+
+SCHEMA = "id int, e array<float>, m array<float>"
+
+
+def vectors(n, seed=0):
+    rng = np.random.default_rng(seed)
+    return [
+        (i, rng.normal(size=5).astype("float32").tolist(), rng.normal(size=13).astype("float32").tolist())
+        for i in range(n)
+    ]
+
+
+def expected(e, m, weights):
+    """One row at a time, in plain loops."""
+
+    def dense(x, layers):
+        for w, b in layers:
+            x = [
+                max(0.0, sum(x[i] * w[i][o] for i in range(len(x))) + b[o]) for o in range(len(b))
+            ]
+        return x
+
+    def head(x, name):
+        w, b = weights.heads[name]
+        return 1 / (1 + math.exp(-(sum(v * w[i][0] for i, v in enumerate(x)) + b[0])))
+
+    energy, mfcc = dense(e, weights.branches["energy"]), dense(m, weights.branches["mfcc"])
+    central = dense([*e, *m], weights.branches["central"])
+    return (
+        head([a + b for a, b in zip(energy, central)], "energy_output"),
+        head([a + b for a, b in zip(mfcc, central)], "mfcc_output"),
+        head(central, "real_output"),
+    )
+
+
+def test_size_of_the_full_network():
+    assert S.initial_weights(0).size == 40131
+
+
+def test_scores_equal_plain_loops(rows):
+    data, weights = vectors(6), S.initial_weights(1)
+    scored = S.score_branches(rows(data, SCHEMA), "e", "m", weights, ["id"]).collect()
+    assert len(scored) == 6
+    for row in scored:
+        _, e, m = data[row.id]
+        assert tuple(row)[1:] == pytest.approx(expected(e, m, weights), rel=1e-9)
+
+
+def test_native_form_equals_arrow_form(rows):
+    data, weights = vectors(5, 3), S.initial_weights(2, units=3)
+    df = rows(data, SCHEMA)
+    arrow = S.score_branches(df, "e", "m", weights, ["id"]).orderBy("id").collect()
+    native = S.score_branches_native(df, "e", "m", weights, ["id"]).orderBy("id").collect()
+    for a, b in zip(arrow, native):
+        assert tuple(a) == pytest.approx(tuple(b), rel=1e-9)
+
+
+def test_zero_weights_give_one_half(rows):
+    weights = S.initial_weights(0)
+    zero = S.BranchWeights(
+        {n: [(w * 0, b * 0) for w, b in stack] for n, stack in weights.branches.items()},
+        {n: (w * 0, b * 0) for n, (w, b) in weights.heads.items()},
+    )
+    row = S.score_branches(rows(vectors(1), SCHEMA), "e", "m", zero, ["id"]).first()
+    assert tuple(row)[1:] == (0.5, 0.5, 0.5)
+
+
+def test_missing_vector_gives_null(rows):
+    data = vectors(2) + [(2, None, [0.0] * 13), (3, [0.0] * 5, None)]
+    scored = S.score_branches(rows(data, SCHEMA), "e", "m", S.initial_weights(0), ["id"])
+    nulls = {r.id: (r.energy_output, r.real_output) for r in scored.collect() if r.id > 1}
+    assert nulls == {2: (None, None), 3: (None, None)}
+
+
+def test_wrong_width_fails(rows):
+    df = rows([(1, [1.0] * 4, [1.0] * 13)], SCHEMA)
+    with pytest.raises(Exception, match="expected vectors of 5 numbers"):
+        S.score_branches(df, "e", "m", S.initial_weights(0), ["id"]).collect()
+
+
+def test_loss(rows):
+    df = rows([(1, 0.8, 0.5), (0, 0.4, 0.0)], "y int, a double, b double")
+    loss = S.branch_loss(df, "y", {"a": 2.0, "b": 1.0}).first()
+    a = -(math.log(0.8) + math.log(0.6)) / 2
+    b = -(math.log(0.5) + math.log(1 - 1e-7)) / 2
+    assert tuple(loss) == pytest.approx((a, b, 2 * a + b))
