@@ -9,7 +9,7 @@ from checks.standins import table, with_tables
 from martloom.operators import merge as M
 from martloom.operators.rows import keep_latest as latest
 from martloom.operators.rows import smallest_per_key
-from martloom.shared import fresh_path
+from martloom.shared import fresh_path, written
 from martloom.sinks.layout import save_hashed
 from martloom.sinks.loads import load_all, run_copies
 from martloom.sinks.staging import StagingTable
@@ -151,7 +151,7 @@ def staged_reviews(spark, sf_dir):
 def hash_layout(spark, sf_dir):
     """Lines and their amounts, each hash-distributed by line key, joined without a shuffle."""
     keys = ["order_id", "order_item_id"]
-    lines = smallest_per_key(S.order_items_raw(spark, sf_dir), keys)
+    lines = written(smallest_per_key(S.order_items_raw(spark, sf_dir), keys), "lines")
     saved = []
     for cols in (["product_id", "seller_id"], ["price", "freight_value"]):
         path = fresh_path(spark, "hashed")

@@ -33,8 +33,12 @@ TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 FIRST_TIMESTAMP = "1677-09-21 00:12:44"
 LAST_TIMESTAMP = "2262-04-11 23:47:16"
 
-# Java reads `1d`, `1f` and `0x1p3` as numbers; a CSV number has none of these.
-_JAVA_ONLY_NUMBER = r"[0-9.][dDfF]\s*$|[xX]"
+# What a CSV number looks like. The shapes are tested before the cast: Java alone would also read
+# `1d` or `0x1p3`, and a cast that fails raises and catches an error for every such row.
+_NUMBER_SHAPE = (
+    r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+)
+_WHOLE_SHAPE = {"int": r"^\s*[+-]?\d{1,10}\s*$", "bigint": r"^\s*[+-]?\d{1,19}\s*$"}
 
 
 def marker_to_null(col: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Column:
@@ -46,35 +50,29 @@ def empty_to_null(col: Column) -> Column:
 
 
 def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+    return F.nullif(col, F.lit(float("nan")))
 
 
 def lenient_double(col: Column) -> Column:
     """Number in the text, NULL for anything else (`NaN` included)."""
-    return nan_to_null(F.when(~col.rlike(_JAVA_ONLY_NUMBER), col).try_cast("double"))
+    return F.when(col.rlike(_NUMBER_SHAPE), col).try_cast("double")
 
 
 def lenient_int(col: Column) -> Column:
     """As `lenient_double`, cut to a whole number; a number outside INT fails."""
-    number = lenient_double(col)
-    return _whole(number, number, "int")
+    return F.coalesce(_whole(col, "int"), _cut(lenient_double(col), "int"))
 
 
 def strict_double(col: Column) -> Column:
     """Number in the text; missing stays NULL, other text fails the job."""
-    number = lenient_double(col)
-    return F.when(
-        col.isNotNull() & number.isNull() & (F.lower(F.trim(col)) != "nan"),
-        _fail("not a number", col),
-    ).otherwise(number)
+    return F.coalesce(lenient_double(col), F.when(col.isNotNull(), _fail("not a number", col)))
 
 
 def strict_int(col: Column, type_: str = "int") -> Column:
     """Number in the text cut to a whole one; missing or other text fails the job."""
-    number = lenient_double(col)
-    exact = F.when(~col.rlike(_JAVA_ONLY_NUMBER), col).try_cast("decimal(38,18)")
-    whole = _whole(F.coalesce(exact, number.try_cast("decimal(38,18)")), number, type_)
-    return F.when(number.isNull(), _fail("not a whole number", col)).otherwise(whole)
+    return F.coalesce(
+        _whole(col, type_), _cut(lenient_double(col), type_), _fail("not a whole number", col)
+    )
 
 
 def lenient_timestamp(col: Column) -> Column:
@@ -94,9 +92,15 @@ def money(col: Column) -> Column:
     return col.cast("decimal(12,2)")
 
 
-def _whole(value: Column, given: Column, type_: str) -> Column:
-    cut = value.try_cast(type_)
-    return F.when(given.isNotNull() & cut.isNull(), _fail(f"outside {type_}", given)).otherwise(cut)
+def _whole(col: Column, type_: str) -> Column:
+    return F.when(col.rlike(_WHOLE_SHAPE[type_]), col).try_cast(type_)
+
+
+def _cut(number: Column, type_: str) -> Column:
+    """Reached only by text that is no whole number of `type_` as it stands."""
+    return F.coalesce(
+        number.try_cast(type_), F.when(number.isNotNull(), _fail(f"outside {type_}", number))
+    )
 
 
 def _fail(reason: str, col: Column) -> Column:
