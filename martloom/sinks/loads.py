@@ -44,23 +44,23 @@ def load_all(
     }
 
 
-def staged(df: DataFrame, spec: TableSpec, raw: bool = False) -> DataFrame:
+def staged(
+    df: DataFrame, spec: TableSpec, raw: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """The columns of `spec` fit for staging: free text cleaned, all text cut to its limit.
 
-    `raw` copies the columns as they are.
+    `raw` copies the columns as they are; the `keep` columns go in front.
     """
     missing = [c for c in spec.columns if c not in df.columns]
     if missing:
         raise ValueError(f"{spec.name} lacks {', '.join(missing)}")
-    if raw:
-        return project(df, spec)
 
     def value(c: str):
         text = clean_controls(F.col(c)) if c in spec.free_text else F.col(c)
         limit = spec.text_limits.get(c)
         return (truncate_text(text, limit) if limit else text).alias(c)
 
-    return df.select(*[value(c) for c in spec.columns])
+    return df.select(*keep, *[c if raw else value(c) for c in spec.columns])
 
 
 def run_copies(

@@ -51,6 +51,12 @@ class StagingTable:
     def of(cls, path: str, spec: TableSpec, seq: Sequence[str] = ()) -> StagingTable:
         return cls(path, spec.schema, tuple(spec.key), tuple(seq))
 
+    @classmethod
+    def of_changes(cls, path: str, spec: TableSpec, seq: T.StructField) -> StagingTable:
+        """A table that keeps the sequence of the last change beside the columns of `spec`."""
+        schema = T.StructType([*spec.schema.fields, seq])
+        return cls(path, schema, tuple(spec.key), (seq.name,))
+
     def create_if_absent(self, spark: SparkSession) -> None:
         if not self._folders(spark):
             self._write(spark.createDataFrame([], self.schema), Folder("batch", 0, LOAD))

@@ -10,12 +10,12 @@ from martloom.specs import TableSpec
 OP = "op"
 SEQ = "seq"
 DELETE = "delete"
+SEQ_FIELD = T.StructField(SEQ, T.LongType())
 
 
 def change_schema(spec: TableSpec) -> T.StructType:
     """Operation, sequence and the row after the change; a delete row fills the key only."""
-    head = [T.StructField(OP, T.StringType()), T.StructField(SEQ, T.LongType())]
-    return T.StructType([*head, *spec.schema.fields])
+    return T.StructType([T.StructField(OP, T.StringType()), SEQ_FIELD, *spec.schema.fields])
 
 
 def read_changes(

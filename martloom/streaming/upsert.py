@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martloom.sinks.loads import staged
 from martloom.sinks.staging import DELETED, StagingTable
-from martloom.sources.changes import DELETE, OP, SEQ, read_changes
-from martloom.specs import TableSpec
+from martloom.sources.changes import DELETE, OP, SEQ, SEQ_FIELD, read_changes
+from martloom.specs import SOURCE_TABLES, TableSpec
 
 # Fixed value: flush interval of the buffered sink.
 FLUSH_INTERVAL = "5 seconds"
@@ -70,3 +71,31 @@ def stream_apply_changes(
         raise ValueError(f"the target does not order its writes by {seq!r}")
     marked = changes.withColumn(DELETED, F.col(op) == delete)
     return stream_upsert(marked, target, checkpoint, available_now, interval)
+
+
+def stream_published(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    names: Sequence[str] | None = None,
+    available_now: bool = False,
+    interval: str = FLUSH_INTERVAL,
+) -> dict[str, StreamingQuery]:
+    """One change stream per published table, from `<source>/<name>` into `<target>/<name>`.
+
+    Free text is cleaned and text cut to its limit on the way, as in the batch copies.
+    """
+    started = {}
+    for name in names or list(SOURCE_TABLES):
+        spec = SOURCE_TABLES[name]
+        changes = stream_changes(spark, spec, f"{source}/{name}")
+        clean = staged(changes, spec, keep=(OP, SEQ))
+        started[name] = stream_apply_changes(
+            clean,
+            StagingTable.of_changes(f"{target}/{name}", spec, SEQ_FIELD),
+            f"{checkpoint}/{name}",
+            available_now=available_now,
+            interval=interval,
+        )
+    return started

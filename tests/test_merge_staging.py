@@ -193,6 +193,13 @@ def test_run_copies(spark, kv, tmp_path):
     ]
 
 
+def test_empty_tables_are_counted(spark, kv, tmp_path):
+    empty = kv().limit(0)
+    assert load_full(empty, str(tmp_path / "full")) == 0
+    report = run_copies(spark, lambda spec: empty, str(tmp_path), specs={"t": SPEC}).first()
+    assert (report.status, report.n_rows) == ("OK", 0)
+
+
 def test_staged_reviews(rows):
     df = rows(
         [("r", "o", 5, "t\tt", "m\r\n" + "x" * 300)],

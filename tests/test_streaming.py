@@ -5,18 +5,21 @@ from pyspark.sql import functions as F
 
 from martloom.operators.merge import apply_changes
 from martloom.operators.rows import keep_latest
+from martloom.plans.ingest import ingest
 from martloom.sinks.staging import StagingTable
-from martloom.sources.changes import change_schema
+from martloom.sources.changes import SEQ_FIELD, change_schema
 from martloom.specs import INT, LONG, SOURCE_TABLES, TEXT, TableSpec
 from martloom.streaming.upsert import (
     stream_apply_changes,
     stream_changes,
     stream_clean,
+    stream_published,
     stream_upsert,
 )
 
 SPEC = TableSpec("t", dict(k=TEXT, v=INT), key=("k",))
 WITH_SEQ = TableSpec("t", dict(k=TEXT, seq=LONG, v=INT), key=("k",))
+from test_sources_ingest import csv_tables
 
 
 def found(df):
@@ -88,6 +91,31 @@ def test_stream_does_not_replace_a_batch_load(spark, rows, tmp_path):
     assert found(target.current(spark)) == [("a", 1), ("x", 1)]
 
 
+def test_all_published_tables(spark, tmp_path):
+    clean = ingest(spark, csv_tables(tmp_path))
+    for name, df in clean.items():
+        head = df.select(F.lit("create").alias("op"), F.lit(1).cast("long").alias("seq"), "*")
+        head.write.parquet(str(tmp_path / "changes" / name))
+    key = SOURCE_TABLES["order_reviews"].key[0]
+    gone = clean["order_reviews"].where(f"{key} = 'r2'").select(
+        F.lit("delete").alias("op"), F.lit(2).cast("long").alias("seq"), key
+    )
+    gone.write.mode("append").parquet(str(tmp_path / "changes" / "order_reviews"))
+    paths = [str(tmp_path / d) for d in ("changes", "staging", "checkpoints")]
+    for query in stream_published(spark, *paths, available_now=True).values():
+        query.awaitTermination()
+    for name, df in clean.items():
+        table = StagingTable.of_changes(str(tmp_path / "staging" / name), SOURCE_TABLES[name], SEQ_FIELD)
+        stored = table.current(spark).drop("seq")
+        assert stored.columns == df.columns
+        if name == "order_reviews":
+            row = stored.collect()
+            assert [r.review_id for r in row] == ["r1"]
+            assert row[0].review_comment_message == "first line"
+        else:
+            assert found(stored) == found(df), name
+
+
 def test_change_target_must_order_by_sequence(spark, tmp_path):
     target = StagingTable.of(str(tmp_path / "t"), SPEC)
     with pytest.raises(ValueError, match="seq"):
