@@ -88,14 +88,14 @@ def apply_changes(spark, sf_dir):
     return M.apply_changes(target, S.changes(spark, sf_dir), ["user_id"], ["ts", "seq"], "op")
 
 
-def _two_batches(spark, sf_dir, compact):
+def _two_batches(spark, sf_dir, compact, buckets=None):
     lines = S.order_items_raw(spark, sf_dir).select(
         F.col("product_id"), F.col("seller_id"), "shipping_limit_date", "price"
     )
     schema = lines.schema
     target = StagingTable(
         fresh_path(spark, "staging"), schema, ("product_id",),
-        ("shipping_limit_date", "price", "seller_id"),
+        ("shipping_limit_date", "price", "seller_id"), buckets,
     )
     target.create_if_absent(spark)
     target.upsert(lines.where("price >= 30000"))
@@ -113,6 +113,10 @@ def staging_upsert_compacted(spark, sf_dir):
     return _two_batches(spark, sf_dir, compact=True)
 
 
+def staging_upsert_hashed(spark, sf_dir):
+    return _two_batches(spark, sf_dir, compact=True, buckets=8)
+
+
 def ordered_load(spark, sf_dir):
     """Full refresh of two tables, parents first; then both are read back and joined."""
     target = fresh_path(spark, "load")
@@ -296,6 +300,7 @@ CHECKS = {
     ),
     "staging_upsert": (staging_upsert, _STAGED_LINES),
     "staging_upsert_compacted": (staging_upsert_compacted, _STAGED_LINES),
+    "staging_upsert_hashed": (staging_upsert_hashed, _STAGED_LINES),
     "ordered_load": (
         ordered_load,
         with_tables(

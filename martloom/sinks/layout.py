@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def save_hashed(
@@ -23,3 +24,23 @@ def save_hashed(
         .saveAsTable(table)
     )
     return df.sparkSession.table(table)
+
+
+def hashed_table(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    buckets: int,
+    path: str,
+) -> DataFrame:
+    """A table saved by `save_hashed`, entered into the catalog when this session lacks it."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(
+            f"CREATE TABLE `{table}` ({columns}) USING parquet"
+            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {int(buckets)} BUCKETS"
+            f" LOCATION '{path}'"
+        )
+    return spark.table(table)

@@ -8,10 +8,15 @@ A write adds one folder, so its cost follows the batch and not the table. Writin
 source again replaces that source's folder, so a repeated micro-batch has no second effect. Only
 folders that carry Spark's `_SUCCESS` mark are read. `compact` folds the batches into a new
 snapshot beside the old one; nothing that is being read is ever overwritten. One writer at a time.
+
+With `buckets` the snapshots are hash-distributed by key, and merging even a large batch into one
+shuffles the batch only. Each such snapshot is a bucketed table of the session catalog, entered
+again where a new session does not know it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -21,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.rows import keep_latest
+from martloom.sinks.layout import hashed_table, save_hashed
 from martloom.specs import TableSpec
 
 DELETED = "_deleted"
@@ -46,16 +52,21 @@ class StagingTable:
     schema: T.StructType
     keys: tuple[str, ...]
     seq: tuple[str, ...] = ()
+    buckets: int | None = None
 
     @classmethod
-    def of(cls, path: str, spec: TableSpec, seq: Sequence[str] = ()) -> StagingTable:
-        return cls(path, spec.schema, tuple(spec.key), tuple(seq))
+    def of(
+        cls, path: str, spec: TableSpec, seq: Sequence[str] = (), buckets: int | None = None
+    ) -> StagingTable:
+        return cls(path, spec.schema, tuple(spec.key), tuple(seq), buckets)
 
     @classmethod
-    def of_changes(cls, path: str, spec: TableSpec, seq: T.StructField) -> StagingTable:
+    def of_changes(
+        cls, path: str, spec: TableSpec, seq: T.StructField, buckets: int | None = None
+    ) -> StagingTable:
         """A table that keeps the sequence of the last change beside the columns of `spec`."""
         schema = T.StructType([*spec.schema.fields, seq])
-        return cls(path, schema, tuple(spec.key), (seq.name,))
+        return cls(path, schema, tuple(spec.key), (seq.name,), buckets)
 
     def create_if_absent(self, spark: SparkSession) -> None:
         if not self._folders(spark):
@@ -87,7 +98,11 @@ class StagingTable:
         rows = self._merged(spark)
         if not keep_tombstones:
             rows = rows.where(~F.col(DELETED))
-        rows.write.mode("overwrite").parquet(f"{self.path}/{newest.name}")
+        path = f"{self.path}/{newest.name}"
+        if self.buckets:
+            save_hashed(rows, _table_name(path), self.keys, self.buckets, path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     def superseded(self, spark: SparkSession) -> list[str]:
         """Folders that new readers no longer open, for the retention job of the storage.
@@ -128,31 +143,63 @@ class StagingTable:
             and (base is None or f.number > base.number)
             and self._finished(spark, f)
         ]
-        snapshot = self._read(spark, [base]) if base else None
+        snapshot = self._snapshot(spark, base) if base else None
         if not later:
             return self._read(spark, []) if snapshot is None else snapshot
-        order = (*self.seq, ARRIVAL)
-        recent = keep_latest(self._read(spark, later), self.keys, order)
+        batches = self._read(spark, later)
+        if base and self.buckets:
+            # as many partitions as buckets, else the planner would shuffle the snapshot instead;
+            # a key occurs at most once per batch, so none is hot here
+            batches = batches.repartition(self.buckets, *self.keys)
+        recent = keep_latest(batches, self.keys, (*self.seq, ARRIVAL))
         if snapshot is None:
             return recent
-        # The snapshot is large and the recent keys are few: it is filtered by them (in place
-        # while they are small enough to broadcast) and only its touched rows are merged.
-        touched = snapshot.join(recent.select(*self.keys), list(self.keys), "left_semi")
-        untouched = snapshot.join(recent.select(*self.keys), list(self.keys), "left_anti")
-        contested = keep_latest(touched.unionByName(recent), self.keys, order)
-        return untouched.unionByName(contested)
+        return self._merge(snapshot, recent)
 
-    def _read(self, spark: SparkSession, folders: list[Folder]) -> DataFrame:
-        stored = T.StructType(
+    def _merge(self, snapshot: DataFrame, recent: DataFrame) -> DataFrame:
+        """Rows of the snapshot, or of `recent` where it holds a later write of the key.
+
+        While the recent rows are small enough to broadcast, the snapshot is not shuffled: one
+        pass over it takes the later rows in, one over its keys finds which recent keys are new.
+        """
+        keys, order = list(self.keys), (*self.seq, ARRIVAL)
+        values = [c for c in snapshot.columns if c not in keys]
+        later = recent.select(*keys, F.struct(*values).alias("_recent"))
+        mine = F.struct(*order)
+        theirs = F.struct(*[F.col("_recent").getField(c).alias(c) for c in order])
+        wins = F.col("_recent").isNotNull() & (theirs > mine)
+        merged = snapshot.join(later, keys, "left").select(
+            *keys,
+            *[
+                F.when(wins, F.col("_recent").getField(c)).otherwise(F.col(c)).alias(c)
+                for c in values
+            ],
+        )
+        known = snapshot.select(*keys).join(recent.select(*keys), keys, "left_semi")
+        return merged.unionByName(recent.join(known, keys, "left_anti"))
+
+    def _snapshot(self, spark: SparkSession, base: Folder) -> DataFrame:
+        if not self.buckets:
+            return self._read(spark, [base])
+        path = f"{self.path}/{base.name}"
+        return hashed_table(
+            spark, _table_name(path), self._stored, self.keys, self.buckets, path
+        )
+
+    @property
+    def _stored(self) -> T.StructType:
+        return T.StructType(
             [
                 *self.schema.fields,
                 T.StructField(DELETED, T.BooleanType()),
                 T.StructField(ARRIVAL, T.LongType()),
             ]
         )
+
+    def _read(self, spark: SparkSession, folders: list[Folder]) -> DataFrame:
         if not folders:
-            return spark.createDataFrame([], stored)
-        return spark.read.schema(stored).parquet(*[f"{self.path}/{f.name}" for f in folders])
+            return spark.createDataFrame([], self._stored)
+        return spark.read.schema(self._stored).parquet(*[f"{self.path}/{f.name}" for f in folders])
 
     def _base(self, spark: SparkSession, folders: list[Folder]) -> Folder | None:
         """The newest finished snapshot."""
@@ -178,5 +225,9 @@ class StagingTable:
         return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
+def _table_name(path: str) -> str:
+    return f"staging_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

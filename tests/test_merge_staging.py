@@ -149,6 +149,46 @@ def test_snapshot_is_not_shuffled_for_a_small_batch(spark, kv, tmp_path):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def paths_to_join(df, scan):
+    """For every line of the plan with `scan`: the steps above it up to the first join."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = []
+    for at in (i for i, line in enumerate(lines) if scan in line):
+        steps, depth = [], depths[at]
+        for i in range(at - 1, -1, -1):
+            if depths[i] < depth:
+                steps.append(lines[i])
+                depth = depths[i]
+                if "Join" in lines[i]:
+                    break
+        found.append(steps)
+    return found
+
+
+def test_bucketed_snapshot_is_not_shuffled_for_a_large_batch(spark, tmp_path):
+    def numbers(n, v):
+        return spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
+
+    table = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=4)
+    table.upsert(numbers(9000, 1))
+    table.compact(spark)
+    table.upsert(numbers(6000, 2))
+    (name,) = [t.name for t in spark.catalog.listTables() if t.name.startswith("staging_")]
+    spark.sql(f"DROP TABLE {name}")  # as in a new session: the files stay
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current = table.current(spark)
+        assert dict(current.groupBy("v").count().collect()) == {1: 3000, 2: 6000}
+        paths = paths_to_join(current, "Bucketed: true")
+        assert len(paths) == 2
+        assert not any("Exchange" in step for path in paths for step in path)
+        table.compact(spark)
+        assert dict(table.current(spark).groupBy("v").count().collect()) == {1: 3000, 2: 6000}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_load_order_puts_parents_first():
     order = load_order(SOURCE_TABLES.values())
     assert sorted(order) == sorted(SOURCE_TABLES)
