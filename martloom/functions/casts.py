@@ -88,8 +88,10 @@ def lenient_timestamp(col: Column) -> Column:
 
 
 def money(col: Column) -> Column:
-    """DECIMAL(12,2), halves rounded away from zero."""
-    return col.cast("decimal(12,2)")
+    """DECIMAL(12,2), halves rounded away from zero; an amount that does not fit fails."""
+    return F.coalesce(
+        col.try_cast("decimal(12,2)"), F.when(col.isNotNull(), _fail("no amount", col))
+    )
 
 
 def _whole(col: Column, type_: str) -> Column:

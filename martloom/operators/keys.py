@@ -45,7 +45,11 @@ def assign_keys(
     before = F.split(F.lit(",".join(map(str, accumulate([start, *sizes])))), ",")
     base = F.get(before.cast("array<bigint>"), task)
     within = F.col("_slot").bitwiseAND(F.lit((1 << _TASK_SHIFT) - 1))
-    return placed.select((base + within + 1).cast(key_type).alias(key), *df.columns)
+    number = base + within + 1
+    too_large = F.raise_error(F.concat(F.lit(f"{key} outside {key_type}: "), number.cast("string")))
+    return placed.select(
+        F.coalesce(number.try_cast(key_type), too_large.cast(key_type)).alias(key), *df.columns
+    )
 
 
 def last_key(existing: DataFrame | None, key: str) -> int:

@@ -46,7 +46,11 @@ class Folder(NamedTuple):
 
 @dataclass(frozen=True)
 class StagingTable:
-    """`seq` orders the writes of one key; rows with equal `seq` follow their batch number."""
+    """`seq` orders the writes of one key; rows with equal `seq` follow their batch number.
+
+    Rows of one batch with equal `seq` are told apart by their values, so that a repeated write
+    stores the same row again.
+    """
 
     path: str
     schema: T.StructType

@@ -23,8 +23,11 @@ def read_csv_text(
     """Header CSV as text columns, missing markers as NULL.
 
     Quoted line breaks need `multi_line`, which makes each file one task; it is on only for
-    tables with free text, so hand those over as many files. All other files are split. The
-    header must name the columns of `spec`. `keep_order` adds the column `_input_order`.
+    tables with free text, so hand those over as many files. Where records end in CRLF and the
+    breaks inside quotes are bare LF, `multi_line=False, line_sep="\\r\\n"` splits such files too.
+    All other files are split. The header must name the columns of `spec`, and a row of another
+    width fails the scan (`mode="PERMISSIVE"` fills short rows with NULL). `keep_order` adds the
+    column `_input_order`.
     """
     reader = (
         spark.read.schema(spec.text_schema)

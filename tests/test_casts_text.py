@@ -95,6 +95,9 @@ def test_money_rounds_halves_away_from_zero(rows):
     given = [0.125, -0.125, 2.675, 1.005, 3.0]
     expected = [Decimal(t) for t in ("0.13", "-0.13", "2.68", "1.01", "3.00")]
     assert apply(rows, given, casts.money, "double") == expected
+    for bad in (1e10, float("nan")):
+        with pytest.raises(Exception, match="no amount"):
+            apply(rows, [bad], casts.money, "double")
 
 
 def test_clean_controls(rows):

@@ -40,6 +40,30 @@ def test_crlf_inside_a_quoted_field(spark, tmp_path):
     assert found.review_comment_message == "one\r\ntwo"
 
 
+def test_crlf_records_with_inner_lf_are_split(spark, tmp_path):
+    rows = "".join(
+        f'r{i},o1,5,t,"one\ntwo, ""{i}""",2018-01-01 00:00:00,\r\n' for i in range(3000)
+    )
+    path = put(tmp_path / "reviews.csv", f"{REVIEW_HEADER}\r\n{rows}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        df = read_csv_text(spark, path, ORDER_REVIEWS, multi_line=False, line_sep="\r\n")
+        assert df.rdd.getNumPartitions() > 4
+        found = {r.review_id: r.review_comment_message for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {f"r{i}": f'one\ntwo, "{i}"' for i in range(3000)}
+
+
+def test_row_of_another_width_fails(spark, tmp_path):
+    head = ",".join(CUSTOMERS.columns)
+    path = put(tmp_path / "c.csv", f"{head}\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv_text(spark, path, CUSTOMERS).collect()
+    kept = read_csv_text(spark, path, CUSTOMERS, mode="PERMISSIVE").first()
+    assert tuple(kept) == ("1", "2", "3", None, None)
+
+
 def test_wrong_header_fails(spark, tmp_path):
     path = put(tmp_path / "c.csv", "customer_id,a,b,c,d\n1,2,3,4,5\n")
     with pytest.raises(Exception, match="header|schema"):
