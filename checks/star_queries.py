@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from checks import standins as S
@@ -10,6 +12,7 @@ from martloom.operators import lookup as L
 from martloom.operators.keys import stable_keys as assign_stable_keys
 from martloom.operators.rows import smallest_per_key
 from martloom.plans import star
+from martloom.shared import side_by_side
 
 LINE_KEY = ["order_id", "order_item_id"]
 
@@ -107,12 +110,8 @@ def stable_keys(spark, sf_dir):
 def _fact_inputs(spark, sf_dir):
     items = smallest_per_key(S.order_items_raw(spark, sf_dir), LINE_KEY)
     orders = S.source_orders(spark, sf_dir)
-    dims = {
-        "dim_customer": dim_customer(spark, sf_dir),
-        "dim_seller": dim_seller(spark, sf_dir),
-        "dim_product": dim_product(spark, sf_dir),
-        "dim_order_status": dim_order_status(spark, sf_dir),
-    }
+    builders = (dim_customer, dim_seller, dim_product, dim_order_status)
+    dims = side_by_side(spark, {b.__name__: partial(b, spark, sf_dir) for b in builders})
     return items, orders, dims
 
 

@@ -21,6 +21,7 @@ from martloom.operators.rows import (
     require_positive,
     smallest_per_key,
 )
+from martloom.shared import side_by_side
 from martloom.specs import (
     DIM_CUSTOMER,
     DIM_GEOLOCATION,
@@ -221,21 +222,23 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """All star tables from the clean source tables; the calendar spans the order dates."""
     known = (existing or {}).get
-    star = {
-        "dim_customer": build_dim_customer(tables["customers"], known("dim_customer")),
-        "dim_seller": build_dim_seller(tables["sellers"], known("dim_seller")),
-        "dim_geolocation": build_dim_geolocation(tables["geolocations"], known("dim_geolocation")),
-        "dim_product": build_dim_product(
-            tables["products"],
-            tables["product_category_name_translation"],
-            known("dim_product"),
+    names = tables["product_category_name_translation"]
+    jobs = {
+        "dim_customer": lambda: build_dim_customer(tables["customers"], known("dim_customer")),
+        "dim_seller": lambda: build_dim_seller(tables["sellers"], known("dim_seller")),
+        "dim_geolocation": lambda: build_dim_geolocation(
+            tables["geolocations"], known("dim_geolocation")
         ),
-        "dim_order_status": build_dim_order_status(tables["orders"], known("dim_order_status")),
-        "dim_payment_type": build_dim_payment_type(
+        "dim_product": lambda: build_dim_product(tables["products"], names, known("dim_product")),
+        "dim_order_status": lambda: build_dim_order_status(
+            tables["orders"], known("dim_order_status")
+        ),
+        "dim_payment_type": lambda: build_dim_payment_type(
             tables["order_payments"], known("dim_payment_type")
         ),
-        "dim_time": build_dim_time_of(tables["orders"], "order_purchase_timestamp"),
+        "dim_time": lambda: build_dim_time_of(tables["orders"], "order_purchase_timestamp"),
     }
+    star = side_by_side(tables["orders"].sparkSession, jobs)
     star["fact_order_item"] = build_fact_order_item(
         tables["order_items"], tables["orders"], star, on_missing
     )

@@ -1,4 +1,4 @@
-"""Work tables in the folder the cluster shares.
+"""Work tables in the folder the cluster shares, and independent jobs side by side.
 
 A step that must not be recomputed (positions handed out once, files written for a stream) is
 written there as parquet and read back, so a lost executor costs a retry and nothing else.
@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 
 @cache
 def _local_root(application_id: str) -> str:
@@ -37,3 +43,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], Result]], at_once: int = 4
+) -> dict[str, Result]:
+    """Run independent jobs from `at_once` threads: the last tasks of one leave no core idle."""
+    inherits = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {name: pool.submit(inherits(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in started.items()}

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from graphlib import TopologicalSorter
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.text import clean_controls, truncate_text
 from martloom.operators.rows import project
+from martloom.shared import side_by_side
 from martloom.sinks.staging import StagingTable
 from martloom.specs import SOURCE_TABLES, TableSpec
 
@@ -75,8 +75,8 @@ def run_copies(
 ) -> DataFrame:
     """Copy all tables, or those named, into staging; a failed copy does not stop the others.
 
-    `at_once` copies run side by side, so the last tasks of one leave no executor idle. Returns
-    (table_name, status, n_rows, error), one row per copy.
+    `at_once` copies run side by side. Returns (table_name, status, n_rows, error), one row per
+    copy.
     """
 
     def copy(name: str):
@@ -91,8 +91,8 @@ def run_copies(
         except Exception as failure:  # whatever one copy raises, the others still run
             return name, "FAILED", None, f"{type(failure).__name__}: {failure}"
 
-    with ThreadPoolExecutor(at_once) as pool:
-        report = list(pool.map(inheritable_thread_target(spark)(copy), names or list(specs)))
+    jobs = {name: partial(copy, name) for name in names or specs}
+    report = list(side_by_side(spark, jobs, at_once).values())
     return spark.createDataFrame(
         report, "table_name string, status string, n_rows long, error string"
     )
