@@ -49,9 +49,10 @@ def load_all(
 def staged(
     df: DataFrame, spec: TableSpec, raw: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """The columns of `spec` fit for staging: free text cleaned, all text cut to its limit.
+    """The columns of `spec` as staging takes them, after the `keep` columns.
 
-    `raw` copies the columns as they are; the `keep` columns go in front.
+    A table with free text has it cleaned and all its text cut to the limits; other tables, and
+    any table when `raw`, are copied as they are.
     """
     missing = [c for c in spec.columns if c not in df.columns]
     if missing:
@@ -62,7 +63,8 @@ def staged(
         limit = spec.text_limits.get(c)
         return (truncate_text(text, limit) if limit else text).alias(c)
 
-    return df.select(*keep, *[c if raw else value(c) for c in spec.columns])
+    as_is = raw or not spec.free_text
+    return df.select(*keep, *[c if as_is else value(c) for c in spec.columns])
 
 
 def run_copies(

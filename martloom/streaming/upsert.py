@@ -25,7 +25,7 @@ def stream_changes(
 
 
 def stream_clean(stream: DataFrame, spec: TableSpec) -> DataFrame:
-    """Stateless cleaning: control characters out of free text, all text cut to its limit."""
+    """Stateless cleaning, as `staged` does it for a batch."""
     return staged(stream, spec)
 
 
@@ -84,7 +84,7 @@ def stream_published(
 ) -> dict[str, StreamingQuery]:
     """One change stream per published table, from `<source>/<name>` into `<target>/<name>`.
 
-    Free text is cleaned and text cut to its limit on the way, as in the batch copies.
+    Reviews are cleaned and cut on the way, as in the batch copies.
     """
     started = {}
     for name in names or list(SOURCE_TABLES):

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,8 +176,9 @@ def test_bucketed_snapshot_is_not_shuffled_for_a_large_batch(spark, tmp_path):
     table.upsert(numbers(9000, 1))
     table.compact(spark)
     table.upsert(numbers(6000, 2))
-    (name,) = [t.name for t in spark.catalog.listTables() if t.name.startswith("staging_")]
-    spark.sql(f"DROP TABLE {name}")  # as in a new session: the files stay
+    for t in spark.catalog.listTables():
+        if t.name.startswith("staging_"):
+            spark.sql(f"DROP TABLE {t.name}")  # as in a new session: the files stay
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         current = table.current(spark)
@@ -252,6 +255,13 @@ def test_staged_reviews(rows):
     assert clean.review_comment_title == "t t"
     assert clean.review_comment_message == "m  " + "x" * 252
     assert staged(df, ORDER_REVIEWS, raw=True).first().review_comment_title == "t\tt"
+    wide = replace(ORDER_REVIEWS, limits={"review_comment_message": 65533})
+    assert len(staged(df, wide).first().review_comment_message) == 303
+
+
+def test_other_tables_are_copied_as_they_are(kv):
+    long_text = "a\t" + "x" * 300
+    assert found(staged(kv((long_text, 1)), SPEC)) == [(long_text, 1)]
 
 
 def test_hashed_tables_join_without_shuffle(spark, tmp_path):

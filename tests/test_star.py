@@ -128,6 +128,14 @@ def test_star_from_csv(built):
     assert mart["dim_time"].count() == 2
 
 
+def test_star_refresh_keeps_keys(built):
+    tables, first = built
+    second = star.build_star(tables, existing=first)
+    for name in set(STAR_TABLES) - {"dim_geolocation"}:
+        assert found(second[name]) == found(first[name]), name
+    assert second["dim_geolocation"].count() == 2 * first["dim_geolocation"].count()
+
+
 def test_fact_lines_without_match(built, rows):
     tables, mart = built
     extra = rows(
