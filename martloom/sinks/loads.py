@@ -9,7 +9,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions.text import clean_controls, truncate_text
+from martloom.functions.text import staged_text, truncate_text
 from martloom.operators.rows import project
 from martloom.shared import side_by_side
 from martloom.sinks.staging import StagingTable
@@ -59,9 +59,11 @@ def staged(
         raise ValueError(f"{spec.name} lacks {', '.join(missing)}")
 
     def value(c: str):
-        text = clean_controls(F.col(c)) if c in spec.free_text else F.col(c)
         limit = spec.text_limits.get(c)
-        return (truncate_text(text, limit) if limit else text).alias(c)
+        if limit is None:
+            return F.col(c)
+        fit = staged_text if c in spec.free_text else truncate_text
+        return fit(F.col(c), limit).alias(c)
 
     as_is = raw or not spec.free_text
     return df.select(*keep, *[c if as_is else value(c) for c in spec.columns])
