@@ -81,6 +81,7 @@ def stream_published(
     names: Sequence[str] | None = None,
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """One change stream per published table, from `<source>/<name>` into `<target>/<name>`.
 
@@ -89,7 +90,7 @@ def stream_published(
     started = {}
     for name in names or list(SOURCE_TABLES):
         spec = SOURCE_TABLES[name]
-        changes = stream_changes(spark, spec, f"{source}/{name}")
+        changes = stream_changes(spark, spec, f"{source}/{name}", max_files_per_trigger)
         clean = staged(changes, spec, keep=(OP, SEQ))
         started[name] = stream_apply_changes(
             clean,

@@ -80,6 +80,29 @@ def test_upsert_resumes_and_replays(spark, rows, tmp_path):
     assert found(target.current(spark)) == [("a", 3, 3), ("b", 2, 2), ("c", 4, 4)]
 
 
+def test_micro_batch_that_failed_after_its_write_is_written_again(spark, rows, tmp_path):
+    class Failing(StagingTable):
+        def upsert(self, df, source=None):
+            super().upsert(df, source)
+            raise RuntimeError("lost after the write")
+
+    path, source = str(tmp_path / "t"), str(tmp_path / "in")
+    rows([("a", 1), ("b", 1)], "k string, v int").write.parquet(source)
+
+    def run(target):
+        stream = spark.readStream.schema("k string, v int").parquet(source)
+        query = stream_upsert(stream, target, str(tmp_path / "cp"), available_now=True)
+        query.awaitTermination()
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run(Failing.of(path, SPEC))
+    target = StagingTable.of(path, SPEC)
+    target.upsert(rows([("a", 2)], "k string, v int"))
+    run(target)
+    assert found(target.current(spark)) == [("a", 2), ("b", 1)]
+    assert len([d for d in (tmp_path / "t").iterdir() if d.name.startswith("batch-")]) == 2
+
+
 def test_stream_does_not_replace_a_batch_load(spark, rows, tmp_path):
     target = StagingTable.of(str(tmp_path / "t"), SPEC)
     target.create_if_absent(spark)
