@@ -9,10 +9,10 @@ from checks.standins import table, with_tables
 from martloom.functions import casts
 from martloom.functions.text import clean_controls, truncate_text
 from martloom.operators import rows as R
-from martloom.plans.ingest import type_table
+from martloom.plans.ingest import ingest, type_table
 from martloom.shared import fresh_path
-from martloom.sources.files import read_csv_text
-from martloom.specs import DOUBLE, LONG, TEXT, TIME, TableSpec
+from martloom.sources.files import INPUT_ORDER, read_csv_text
+from martloom.specs import DOUBLE, LONG, SOURCE_TABLES, TEXT, TIME, TableSpec
 
 ORDERS_FILE = TableSpec(
     "orders",
@@ -35,6 +35,13 @@ DOCUMENTS_FILE = TableSpec(
 )
 
 
+EVENTS_FILE = TableSpec(
+    "events",
+    dict(event_id=LONG, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT),
+    key=("user_id",),
+)
+
+
 def _csv_copy(df, spec):
     path = fresh_path(df.sparkSession, f"csv-{spec.name}")
     (
@@ -59,6 +66,30 @@ def csv_free_text_scan(spark, sf_dir):
     return type_table(read_csv_text(spark, path, DOCUMENTS_FILE), DOCUMENTS_FILE)
 
 
+def dedup_first_in_files(spark, sf_dir):
+    """The first event of each user in input order, over files written in event order."""
+    events = table(spark, sf_dir, "events").repartitionByRange("event_id")
+    path = _csv_copy(events.sortWithinPartitions("event_id"), EVENTS_FILE)
+    raw = read_csv_text(spark, path, EVENTS_FILE, keep_order=True)
+    first = R.dedup_first(type_table(raw, EVENTS_FILE), ["user_id"], [INPUT_ORDER])
+    return first.drop(INPUT_ORDER)
+
+
+def ingest_order_items(spark, sf_dir):
+    """Products, translation and order lines as CSV, then typed and pruned together."""
+    names = ("product_name_length", "product_description_length", "product_photos_qty")
+    products = S.products(spark, sf_dir).withColumns(
+        {c: F.length("product_category_name").cast("double") for c in names}
+    )
+    frames = {
+        "products": products,
+        "product_category_name_translation": S.translation(spark, sf_dir),
+        "order_items": S.order_items_raw(spark, sf_dir),
+    }
+    paths = {name: _csv_copy(df, SOURCE_TABLES[name]) for name, df in frames.items()}
+    return ingest(spark, paths)["order_items"]
+
+
 def null_markers(spark, sf_dir):
     p = F.col("o_orderpriority")
     marked = (
@@ -205,6 +236,23 @@ CHECKS = {
         " FROM orders",
     ),
     "csv_free_text_scan": (csv_free_text_scan, "SELECT doc_id, text, lang, source FROM documents"),
+    "dedup_first_in_files": (
+        dedup_first_in_files,
+        """
+        SELECT event_id, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+            FROM events) WHERE rn = 1""",
+    ),
+    "ingest_order_items": (
+        ingest_order_items,
+        with_tables(
+            " SELECT * FROM order_items_raw WHERE product_id IN (SELECT product_id FROM products"
+            " WHERE product_category_name IN (SELECT product_category_name FROM translation))",
+            "products",
+            "translation",
+            "order_items_raw",
+        ),
+    ),
     "null_markers": (
         null_markers,
         "SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
