@@ -109,11 +109,7 @@ def score_branches(
                 columns.append(pa.array(spread, mask=~full))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *outputs])
 
-    given = df.select(
-        *keep,
-        F.col(energy).cast("array<double>").alias("_energy"),
-        F.col(mfcc).cast("array<double>").alias("_mfcc"),
-    )
+    given = df.select(*keep, F.col(energy).alias("_energy"), F.col(mfcc).alias("_mfcc"))
     return given.mapInArrow(score, schema)
 
 

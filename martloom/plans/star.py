@@ -181,11 +181,14 @@ def build_fact_order_item(
     orders: DataFrame,
     dims: Mapping[str, DataFrame],
     on_missing: str = "drop",
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line with its dimension keys and amounts.
 
     `items` is unique in (order_id, order_item_id). A line whose lookup fails is dropped
-    (`fact_rejects` lists it) or points at the unknown member -1.
+    (`fact_rejects` lists it) or points at the unknown member -1. Lines of `existing` keep their
+    key and take the new values where `items` holds them again; only new lines are sorted and
+    numbered.
     """
     rows = _looked_up(items, orders, dims)
     if on_missing == "drop":
@@ -194,13 +197,14 @@ def build_fact_order_item(
         rows = rows.withColumns({k: F.coalesce(k, F.lit(UNKNOWN_KEY)) for k in LOOKUPS})
     else:
         raise ValueError(f"unknown on_missing {on_missing!r}")
-    keyed = assign_keys(
-        rows.select(*FACT_ORDER_ITEM.columns[1:]),
-        ["order_id", "order_item_id"],
-        "order_item_fact_key",
-        key_type="long",
-    )
-    return project(keyed, FACT_ORDER_ITEM)
+    rows = rows.select(*FACT_ORDER_ITEM.columns[1:])
+    line, key = ["order_id", "order_item_id"], "order_item_fact_key"
+    if existing is None:
+        return project(assign_keys(rows, line, key, key_type="long"), FACT_ORDER_ITEM)
+    known = update_matched(project(existing, FACT_ORDER_ITEM), rows, line, rows.columns[2:])
+    fresh = rows.join(existing.select(*line), line, "left_anti")
+    start = last_key(existing, key)
+    return known.unionByName(assign_keys(fresh, line, key, start, key_type="long"))
 
 
 def fact_rejects(
@@ -240,6 +244,6 @@ def build_star(
     }
     star = side_by_side(tables["orders"].sparkSession, jobs)
     star["fact_order_item"] = build_fact_order_item(
-        tables["order_items"], tables["orders"], star, on_missing
+        tables["order_items"], tables["orders"], star, on_missing, known("fact_order_item")
     )
     return star

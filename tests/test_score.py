@@ -78,6 +78,16 @@ def test_missing_vector_gives_null(rows):
     assert nulls == {2: (None, None), 3: (None, None)}
 
 
+def test_whole_and_decimal_features(rows):
+    weights = S.initial_weights(4)
+    df = rows([(0, [1, 2, 3, 4, 5], list(range(13)))], "id int, e array<int>, m array<int>")
+    expected_row = expected([1, 2, 3, 4, 5], list(range(13)), weights)
+    for type_ in ("array<int>", "array<double>", "array<decimal(9,2)>"):
+        typed = df.withColumns({c: df[c].cast(type_) for c in ("e", "m")})
+        row = S.score_branches(typed, "e", "m", weights, ["id"]).first()
+        assert tuple(row)[1:] == pytest.approx(expected_row, rel=1e-9)
+
+
 def test_wrong_width_fails(rows):
     df = rows([(1, [1.0] * 4, [1.0] * 13)], SCHEMA)
     with pytest.raises(Exception, match="expected vectors of 5 numbers"):

@@ -136,6 +136,22 @@ def test_star_refresh_keeps_keys(built):
     assert second["dim_geolocation"].count() == 2 * first["dim_geolocation"].count()
 
 
+def test_fact_refresh(built, rows):
+    tables, mart = built
+    schema = tables["order_items"].schema.simpleString()[7:-1].replace(":", " ")
+    batch = rows(
+        [("o2", 2, "p4", "s1", None, 9.99, 2.0), ("o1", 0, "p1", "s1", None, 1.0, 0.0)], schema
+    )
+    first = mart["fact_order_item"]
+    second = star.build_fact_order_item(batch, tables["orders"], mart, existing=first)
+    columns = ("order_item_fact_key", "order_id", "order_item_id", "item_price")
+    assert found(second, *columns) == [
+        (1, "o1", 1, Decimal("58.90")),
+        (2, "o2", 2, Decimal("9.99")),
+        (3, "o1", 0, Decimal("1.00")),
+    ]
+
+
 def test_fact_lines_without_match(built, rows):
     tables, mart = built
     extra = rows(
