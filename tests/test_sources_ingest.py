@@ -155,6 +155,14 @@ def test_ingest(spark, tmp_path):
     assert reviews["r1"].review_comment_title is None
 
 
+def test_first_review_is_that_of_the_first_file(spark, tmp_path):
+    for name, text in (("b.csv", "late"), ("a.csv", "early")):
+        row = f"r1,o1,5,t,{text},2018-01-01 00:00:00,\n"
+        put(tmp_path / "reviews" / name, f"{REVIEW_HEADER}\n{row}")
+    clean = ingest(spark, {"order_reviews": str(tmp_path / "reviews")})["order_reviews"]
+    assert [r.review_comment_message for r in clean.collect()] == ["early"]
+
+
 def test_bad_price_fails_the_load(spark, tmp_path):
     paths = csv_tables(tmp_path)
     head = ",".join(SOURCE_TABLES["order_items"].columns)
