@@ -67,13 +67,16 @@ def stable_keys(
 ) -> DataFrame:
     """(key, natural) for every natural key of `df` and of `existing`.
 
-    A known natural key keeps its key; new ones continue after the largest key in use.
+    A known natural key keeps its key; new ones continue after the largest key in use. NULL parts
+    of a natural key are equal to each other.
     """
     fresh = df.select(*natural).distinct()
     if existing is None:
         return assign_keys(fresh, natural, key, key_type=key_type)
     known = existing.select(key, *natural)
-    fresh = fresh.join(known.select(*natural), list(natural), "left_anti")
+    taken = known.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
+    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural]
+    fresh = fresh.join(taken, same, "left_anti")
     return known.unionByName(
         assign_keys(fresh, natural, key, start=last_key(existing, key), key_type=key_type)
     )

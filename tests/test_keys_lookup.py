@@ -43,6 +43,18 @@ def test_stable_keys(rows):
         assert {r.n: r.k for r in existing.collect()} == {"m": 4, "c": 9, "a": 10, "z": 11}
 
 
+def test_stable_keys_with_null_parts(rows):
+    df = rows([("b", None), ("b", 1.0), (None, None)], "n string, x double")
+    first = stable_keys(df, ["n", "x"], "k")
+    second = stable_keys(df.union(rows([("c", None)], "n string, x double")), ["n", "x"], "k", first)
+    assert {(r.n, r.x): r.k for r in second.collect()} == {
+        (None, None): 1,
+        ("b", None): 2,
+        ("b", 1.0): 3,
+        ("c", None): 4,
+    }
+
+
 def test_key_assignment_has_no_single_task_sort(spark):
     keyed = assign_keys(spark.range(1000).select(F.col("id").alias("n")), ["n"], "k")
     plan = keyed._jdf.queryExecution().executedPlan().toString()
