@@ -29,7 +29,7 @@ ORDERS_FILE = TableSpec(
 
 DOCUMENTS_FILE = TableSpec(
     "documents",
-    dict(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT),
+    dict(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT, n_chars=LONG),
     key=("doc_id",),
     free_text=("text",),
 )
@@ -37,7 +37,7 @@ DOCUMENTS_FILE = TableSpec(
 
 EVENTS_FILE = TableSpec(
     "events",
-    dict(event_id=LONG, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT),
+    dict(event_id=LONG, ts=TIME, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT),
     key=("user_id",),
 )
 
@@ -75,7 +75,7 @@ def dedup_first_in_files(spark, sf_dir):
     return first.drop(INPUT_ORDER)
 
 
-def ingest_order_items(spark, sf_dir):
+def _ingested(spark, sf_dir):
     """Products, translation and order lines as CSV, then typed and pruned together."""
     names = ("product_name_length", "product_description_length", "product_photos_qty")
     products = S.products(spark, sf_dir).withColumns(
@@ -86,8 +86,58 @@ def ingest_order_items(spark, sf_dir):
         "product_category_name_translation": S.translation(spark, sf_dir),
         "order_items": S.order_items_raw(spark, sf_dir),
     }
-    paths = {name: _csv_copy(df, SOURCE_TABLES[name]) for name, df in frames.items()}
-    return ingest(spark, paths)["order_items"]
+    return ingest(
+        spark, {name: _csv_copy(df, SOURCE_TABLES[name]) for name, df in frames.items()}
+    )
+
+
+def ingest_order_items(spark, sf_dir):
+    return _ingested(spark, sf_dir)["order_items"]
+
+
+def ingest_products(spark, sf_dir):
+    """Lengths given as `5.0` are read as whole numbers."""
+    return _ingested(spark, sf_dir)["products"]
+
+
+def ingest_reviews(spark, sf_dir):
+    """Every document twice under one review id: the first in the file stays, line breaks and all."""
+    docs = table(spark, sf_dir, "documents")
+    reviews = docs.select(
+        S.text("doc_id").alias("review_id"),
+        F.col("source").alias("order_id"),
+        (F.col("doc_id") % 5 + 1).cast("int").alias("review_score"),
+        F.col("lang").alias("review_comment_title"),
+        F.col("text").alias("review_comment_message"),
+        F.lit("2018-01-01 10:00:00").cast("timestamp_ntz").alias("review_creation_date"),
+        F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp"),
+    )
+    again = F.explode(F.array(F.lit(0), F.lit(1)))
+    twice = reviews.withColumn("_nth", again).withColumn(
+        "review_score", F.col("review_score") + 5 * F.col("_nth")
+    )
+    ordered = twice.repartitionByRange("review_id").sortWithinPartitions("review_id", "_nth")
+    spec = SOURCE_TABLES["order_reviews"]
+    return ingest(spark, {"order_reviews": _csv_copy(ordered, spec)})["order_reviews"]
+
+
+def ingest_geolocations(spark, sf_dir):
+    """One row per point, the first in the file; points as text with and without a last zero."""
+    places = S.geolocations(spark, sf_dir).where("geolocation_lat IS NOT NULL").withColumns(
+        {
+            "geolocation_state": F.coalesce("geolocation_state", F.lit("none")),
+            "_text": F.concat(
+                F.format_string("%.2f", "geolocation_lat"),
+                F.when(F.col("geolocation_city") > "F", "0").otherwise(""),
+            ),
+        }
+    )
+    order = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]
+    sorted_ = places.repartitionByRange(*order).sortWithinPartitions(*order)
+    path = _csv_copy(
+        sorted_.withColumn("geolocation_lat", F.col("_text")), SOURCE_TABLES["geolocations"]
+    )
+    return ingest(spark, {"geolocations": path})["geolocations"]
 
 
 def null_markers(spark, sf_dir):
@@ -107,6 +157,14 @@ def strict_numbers(spark, sf_dir):
         casts.strict_int(S.text("l_quantity")).alias("quantity"),
         casts.strict_double(S.text("l_extendedprice")).alias("price"),
         casts.strict_int(S.text("l_partkey"), "bigint").alias("part"),
+        casts.strict_int(
+            F.when(F.col("l_linenumber") == 1, "9223372036854775807")
+            .when(F.col("l_linenumber") == 2, "-9223372036854775808")
+            .when(F.col("l_linenumber") == 3, "0000000000000000000000007")
+            .when(F.col("l_linenumber") == 4, "9007199254740993")
+            .otherwise(F.concat(S.text("l_partkey"), F.lit(".75"))),
+            "bigint",
+        ).alias("edge"),
     )
 
 
@@ -133,8 +191,16 @@ def lenient_timestamps(spark, sf_dir):
         .when(kind == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
         .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
     )
+    later = F.concat(
+        (F.year(ts) + 300).cast("string"), F.date_format(ts, "-MM-'01' HH:mm:ss")
+    )
     return table(spark, sf_dir, "events").select(
-        "event_id", casts.lenient_timestamp(given).alias("ts")
+        "event_id",
+        casts.lenient_timestamp(given).alias("ts"),
+        casts.lenient_timestamp(F.date_format(ts, "yyyy-MM-dd"), "yyyy-MM-dd").alias("day"),
+        casts.lenient_timestamp(F.date_format(ts, "dd/MM/yyyy HH:mm"), "dd/MM/yyyy HH:mm")
+        .alias("minute"),
+        casts.lenient_timestamp(later).alias("later"),
     )
 
 
@@ -235,11 +301,11 @@ CHECKS = {
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
         " FROM orders",
     ),
-    "csv_free_text_scan": (csv_free_text_scan, "SELECT doc_id, text, lang, source FROM documents"),
+    "csv_free_text_scan": (csv_free_text_scan, "SELECT doc_id, text, lang, source, n_chars FROM documents"),
     "dedup_first_in_files": (
         dedup_first_in_files,
         """
-        SELECT event_id, user_id, event_type, value, props FROM (
+        SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
             FROM events) WHERE rn = 1""",
     ),
@@ -253,6 +319,40 @@ CHECKS = {
             "order_items_raw",
         ),
     ),
+    "ingest_products": (
+        ingest_products,
+        with_tables(
+            " SELECT product_id, product_category_name, length(product_category_name)::INTEGER"
+            " AS product_name_length, length(product_category_name)::INTEGER AS"
+            " product_description_length, length(product_category_name)::INTEGER AS"
+            " product_photos_qty, product_weight_g, product_length_cm, product_height_cm,"
+            " product_width_cm FROM products WHERE product_category_name IN"
+            " (SELECT product_category_name FROM translation)",
+            "products",
+            "translation",
+        ),
+    ),
+    "ingest_reviews": (
+        ingest_reviews,
+        "SELECT cast(doc_id AS varchar) AS review_id, source AS order_id,"
+        " (doc_id % 5 + 1)::INTEGER AS review_score, lang AS review_comment_title,"
+        " text AS review_comment_message,"
+        " TIMESTAMP '2018-01-01 10:00:00' AS review_creation_date,"
+        " NULL::TIMESTAMP AS review_answer_timestamp FROM documents",
+    ),
+    "ingest_geolocations": (
+        ingest_geolocations,
+        with_tables(
+            """
+            SELECT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, geolocation_city,
+                   coalesce(geolocation_state, 'none') AS geolocation_state
+            FROM (SELECT *, row_number() OVER (
+                      PARTITION BY geolocation_lat, geolocation_lng
+                      ORDER BY geolocation_zip_code_prefix, geolocation_city) AS rn
+                  FROM geolocations WHERE geolocation_lat IS NOT NULL) WHERE rn = 1""",
+            "geolocations",
+        ),
+    ),
     "null_markers": (
         null_markers,
         "SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
@@ -261,7 +361,9 @@ CHECKS = {
     "strict_numbers": (
         strict_numbers,
         "SELECT l_orderkey, l_linenumber, cast(trunc(l_quantity) AS integer) AS quantity,"
-        " l_extendedprice AS price, l_partkey AS part FROM lineitem",
+        " l_extendedprice AS price, l_partkey AS part, CASE l_linenumber"
+        " WHEN 1 THEN 9223372036854775807 WHEN 2 THEN -9223372036854775808 WHEN 3 THEN 7"
+        " WHEN 4 THEN 9007199254740993 ELSE l_partkey END::BIGINT AS edge FROM lineitem",
     ),
     "lenient_numbers": (
         lenient_numbers,
@@ -276,7 +378,9 @@ CHECKS = {
     "lenient_timestamps": (
         lenient_timestamps,
         "SELECT event_id, CASE WHEN event_type IN ('error', 'view', 'click') THEN NULL"
-        " ELSE date_trunc('second', ts) END AS ts FROM events",
+        " ELSE date_trunc('second', ts) END AS ts, cast(date_trunc('day', ts) AS timestamp) AS day,"
+        " date_trunc('minute', ts) AS minute, date_trunc('month', ts) + INTERVAL 300 YEAR"
+        " + (date_trunc('second', ts) - date_trunc('day', ts)) AS later FROM events",
     ),
     "missing_to_null": (
         missing_to_null,

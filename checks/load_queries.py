@@ -9,12 +9,18 @@ from checks.standins import table, with_tables
 from martloom.operators import merge as M
 from martloom.operators.rows import keep_latest as latest
 from martloom.operators.rows import smallest_per_key
-from martloom.shared import fresh_path, written
-from martloom.sinks.layout import save_hashed
+from martloom.shared import fresh_path, remove_folder, written
+from martloom.sinks.layout import bucket_count, save_hashed
 from martloom.sinks.loads import load_all, run_copies
-from martloom.sinks.staging import StagingTable
+from martloom.sinks.staging import Batch, StagingTable
+from martloom.sources.changes import SEQ_FIELD
 from martloom.specs import DOUBLE, INT, LONG, TEXT, TIME, Reference, TableSpec
-from martloom.streaming.upsert import stream_apply_changes, stream_clean, stream_upsert
+from martloom.streaming.upsert import (
+    stream_changes,
+    stream_clean,
+    stream_published,
+    stream_upsert,
+)
 
 PRODUCTS = TableSpec(
     "products",
@@ -35,6 +41,9 @@ REVIEWS = TableSpec(
     key=("review_id",),
     free_text=("review_comment_title", "review_comment_message"),
 )
+USER_VALUES = TableSpec("user_state", dict(user_id=LONG, ts=TIME, value=DOUBLE), key=("user_id",))
+# What one micro-batch takes: small tables in one, large ones in several.
+BYTES_PER_TRIGGER = 10 << 30
 USER_STATE = TableSpec(
     "user_state", dict(user_id=LONG, seq=LONG, ts=TIME, value=DOUBLE), key=("user_id",)
 )
@@ -76,8 +85,7 @@ def append_distinct(spark, sf_dir):
 
 
 def keep_latest(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("props")
-    return latest(events, ["user_id"], ["ts", "event_id"])
+    return latest(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
 
 def apply_changes(spark, sf_dir):
@@ -98,10 +106,11 @@ def _two_batches(spark, sf_dir, compact, buckets=None):
         ("shipping_limit_date", "price", "seller_id"), buckets,
     )
     target.create_if_absent(spark)
-    target.upsert(lines.where("price >= 30000"))
+    early = F.coalesce(F.col("price") >= 30000, F.lit(False))
+    target.upsert(lines.where(early))
     if compact:
         target.compact(spark)
-    target.upsert(lines.where("price < 30000"))
+    target.upsert(lines.where(~early))
     return target.current(spark)
 
 
@@ -114,7 +123,29 @@ def staging_upsert_compacted(spark, sf_dir):
 
 
 def staging_upsert_hashed(spark, sf_dir):
-    return _two_batches(spark, sf_dir, compact=True, buckets=8)
+    buckets = bucket_count(table(spark, sf_dir, "lineitem"))
+    return _two_batches(spark, sf_dir, compact=True, buckets=buckets)
+
+
+def staging_retry_after_compact(spark, sf_dir):
+    """A micro-batch fails without a mark, the table is compacted, then the micro-batch is tried
+    again: no row is lost."""
+    lines = S.order_items_raw(spark, sf_dir).select(
+        "product_id", "seller_id", "shipping_limit_date", "price"
+    )
+    early = F.coalesce(F.col("price") >= 30000, F.lit(False))
+    target = StagingTable(
+        fresh_path(spark, "staging"), lines.schema, ("product_id",),
+        ("shipping_limit_date", "price", "seller_id"),
+    )
+    target.upsert(lines.where(early))
+    unfinished = Batch(1, "stream-0", 0, "lost")
+    lines.where(~early).limit(0).write.parquet(f"{target.path}/{unfinished.name}")
+    target.compact(spark)
+    target.upsert(lines.where(~early), source="stream-0")
+    target.compact(spark)
+    target.upsert(lines.where(~early), source="stream-0")
+    return target.current(spark)
 
 
 def ordered_load(spark, sf_dir):
@@ -140,9 +171,24 @@ def copy_jobs(spark, sf_dir):
     }
     specs = {s.name: s for s in (PRODUCTS, TRANSLATION, REVIEWS, USER_STATE)}
     report = run_copies(
-        spark, lambda spec: frames[spec.name], fresh_path(spark, "copies"), specs=specs
+        spark, lambda spec: frames[spec.name], fresh_path(spark, "copies"), specs=specs,
+        order={"user_state": ("seq",)},
+    )
+    return report.select(
+        "table_name", "status", "n_rows",
+        F.col("error").contains("product_category_name").alias("names_column"),
     )
-    return report.select("table_name", "status", "n_rows")
+
+
+def copy_jobs_hashed(spark, sf_dir):
+    """Two copies, hash-distributed by key, read back and joined."""
+    frames = {"products": _parts(spark, sf_dir), "translation": S.translation(spark, sf_dir)}
+    specs = {s.name: s for s in (PRODUCTS, TRANSLATION)}
+    target = fresh_path(spark, "copies")
+    buckets = bucket_count(frames["products"])
+    run_copies(spark, lambda s: frames[s.name], target, specs=specs, buckets=buckets)
+    products, names = (StagingTable.of(f"{target}/{n}", specs[n]).current(spark) for n in specs)
+    return products.join(names, "product_category_name", "left")
 
 
 def staged_reviews(spark, sf_dir):
@@ -152,48 +198,93 @@ def staged_reviews(spark, sf_dir):
     return StagingTable.of(f"{target}/reviews", REVIEWS).current(spark)
 
 
+def raw_reviews(spark, sf_dir):
+    """The reviews copied without cleaning."""
+    target = fresh_path(spark, "copies")
+    run_copies(
+        spark, lambda spec: S.reviews(spark, sf_dir), target, specs={"reviews": REVIEWS},
+        raw=["reviews"],
+    )
+    return StagingTable.of(f"{target}/reviews", REVIEWS).current(spark)
+
+
 def hash_layout(spark, sf_dir):
     """Lines and their amounts, each hash-distributed by line key, joined without a shuffle."""
     keys = ["order_id", "order_item_id"]
     lines = written(smallest_per_key(S.order_items_raw(spark, sf_dir), keys), "lines")
+    buckets = bucket_count(lines)
     saved = []
     for cols in (["product_id", "seller_id"], ["price", "freight_value"]):
         path = fresh_path(spark, "hashed")
         name = "hashed_" + path.rpartition("-")[2]
-        saved.append(save_hashed(lines.select(*keys, *cols), name, keys, 8, path))
+        saved.append(save_hashed(lines.select(*keys, *cols), name, keys, buckets, path))
     return saved[0].join(saved[1], keys)
 
 
-def _as_stream(df, purpose, files=4):
-    """The rows of `df` as a stream of several files, one micro-batch each."""
-    path = fresh_path(df.sparkSession, purpose)
-    df.repartition(files).write.parquet(path)
-    return (
-        df.sparkSession.readStream.schema(df.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(path)
-    )
+def _arriving(df, name):
+    """Change files as they would arrive: `<folder>/<name>`, with as many files as tasks."""
+    folder = fresh_path(df.sparkSession, "arriving")
+    df.write.parquet(f"{folder}/{name}")
+    return folder
+
+
+def _user_changes(spark, sf_dir):
+    changes = S.changes(spark, sf_dir).select("op", "seq", "user_id", "ts", "value")
+    return _arriving(changes, "user_state")
 
 
 def stream_upsert_query(spark, sf_dir):
-    stream = _as_stream(S.changes(spark, sf_dir).select(*USER_STATE.columns), "events")
+    """Every change counts as a new state, deletes too."""
+    folder = _user_changes(spark, sf_dir)
+    stream = stream_changes(
+        spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=BYTES_PER_TRIGGER
+    )
     target = StagingTable.of(fresh_path(spark, "staging"), USER_STATE, seq=("seq",))
-    stream_upsert(stream, target, fresh_path(spark, "checkpoint"), True).awaitTermination()
+    stream_upsert(
+        stream.select(*USER_STATE.columns), target, fresh_path(spark, "checkpoint"), True
+    ).awaitTermination()
     return target.current(spark)
 
 
-def stream_apply_changes_query(spark, sf_dir):
-    stream = _as_stream(S.changes(spark, sf_dir), "changes")
+def stream_new_checkpoint(spark, sf_dir):
+    """A second stream starts with a fresh checkpoint at the place of the first, after a
+    compaction, and sees all rows; the first saw half of them."""
+    changes = S.changes(spark, sf_dir)
     target = StagingTable.of(fresh_path(spark, "staging"), USER_STATE, seq=("seq",))
-    stream_apply_changes(
-        stream, target, fresh_path(spark, "checkpoint"), available_now=True
-    ).awaitTermination()
-    target.compact(spark)
+    checkpoint = fresh_path(spark, "checkpoint")
+    for part in (changes.where("user_id % 2 = 0"), changes):
+        folder = _arriving(part.select("op", "seq", "user_id", "ts", "value"), "user_state")
+        stream = stream_changes(
+            spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=BYTES_PER_TRIGGER
+        )
+        stream_upsert(
+            stream.select(*USER_STATE.columns), target, checkpoint, True
+        ).awaitTermination()
+        target.compact(spark)
+        remove_folder(spark, checkpoint)
     return target.current(spark)
 
 
+def stream_apply_changes_query(spark, sf_dir):
+    """The published change stream of one table, from arriving files to the merged rows."""
+    target = fresh_path(spark, "staging")
+    for query in stream_published(
+        spark, _user_changes(spark, sf_dir), target, fresh_path(spark, "checkpoint"),
+        available_now=True, max_bytes_per_trigger=BYTES_PER_TRIGGER,
+        specs={"user_state": USER_VALUES},
+    ).values():
+        query.awaitTermination()
+    state = StagingTable.of_changes(f"{target}/user_state", USER_VALUES, SEQ_FIELD)
+    return state.current(spark)
+
+
 def stream_clean_query(spark, sf_dir):
-    stream = _as_stream(S.reviews(spark, sf_dir), "reviews")
+    folder = _arriving(S.reviews(spark, sf_dir), "reviews")
+    stream = (
+        spark.readStream.schema(REVIEWS.schema)
+        .option("maxBytesPerTrigger", BYTES_PER_TRIGGER)
+        .parquet(f"{folder}/reviews")
+    )
     path = fresh_path(spark, "cleaned")
     (
         stream_clean(stream, REVIEWS)
@@ -208,6 +299,13 @@ def stream_clean_query(spark, sf_dir):
 
 
 _PARTS = "parts AS (SELECT product_id, product_category_name, product_length_cm FROM products)"
+_LOADED = with_tables(
+    f", {_PARTS} SELECT product_id, product_category_name, product_length_cm,"
+    " product_category_name_english"
+    " FROM parts LEFT JOIN translation USING (product_category_name)",
+    "products",
+    "translation",
+)
 _CLEAN = "left(replace(replace(replace({0}, chr(9), ' '), chr(10), ' '), chr(13), ' '), 255)"
 _STAGED_REVIEWS = with_tables(
     " SELECT review_id, order_id, "
@@ -280,7 +378,7 @@ CHECKS = {
     "keep_latest": (
         keep_latest,
         """
-        SELECT event_id, ts, user_id, event_type, value FROM (
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id
                                          ORDER BY ts DESC, event_id DESC) AS rn
             FROM events) WHERE rn = 1""",
@@ -301,27 +399,28 @@ CHECKS = {
     "staging_upsert": (staging_upsert, _STAGED_LINES),
     "staging_upsert_compacted": (staging_upsert_compacted, _STAGED_LINES),
     "staging_upsert_hashed": (staging_upsert_hashed, _STAGED_LINES),
-    "ordered_load": (
-        ordered_load,
-        with_tables(
-            f", {_PARTS} SELECT product_id, product_category_name, product_length_cm,"
-            " product_category_name_english"
-            " FROM parts LEFT JOIN translation USING (product_category_name)",
-            "products",
-            "translation",
-        ),
-    ),
+    "staging_retry_after_compact": (staging_retry_after_compact, _STAGED_LINES),
+    "ordered_load": (ordered_load, _LOADED),
     "copy_jobs": (
         copy_jobs,
         with_tables(
             """
-            SELECT 'products' AS table_name, 'FAILED' AS status, cast(NULL AS bigint) AS n_rows
-            UNION ALL SELECT 'translation', 'OK', count(*) FROM translation
-            UNION ALL SELECT 'reviews', 'OK', count(*) FROM documents
-            UNION ALL SELECT 'user_state', 'OK', count(*) FROM events""",
+            SELECT 'products' AS table_name, 'FAILED' AS status, cast(NULL AS bigint) AS n_rows,
+                   true AS names_column
+            UNION ALL SELECT 'translation', 'OK', count(*), NULL FROM translation
+            UNION ALL SELECT 'reviews', 'OK', count(*), NULL FROM documents
+            UNION ALL SELECT 'user_state', 'OK', count(*), NULL FROM events""",
             "translation",
         ),
     ),
+    "copy_jobs_hashed": (copy_jobs_hashed, _LOADED),
+    "raw_reviews": (
+        raw_reviews,
+        with_tables(
+            " SELECT review_id, order_id, review_comment_title, review_comment_message FROM reviews",
+            "reviews",
+        ),
+    ),
     "staged_reviews": (staged_reviews, _STAGED_REVIEWS),
     "hash_layout": (
         hash_layout,
@@ -333,6 +432,7 @@ CHECKS = {
         ),
     ),
     "stream_upsert": (stream_upsert_query, with_tables(_LAST_STATE, "changes")),
+    "stream_new_checkpoint": (stream_new_checkpoint, with_tables(_LAST_STATE, "changes")),
     "stream_apply_changes": (
         stream_apply_changes_query,
         with_tables(_LAST_STATE + " AND op <> 'delete'", "changes"),

@@ -71,13 +71,10 @@ def branch_loss(spark, sf_dir):
 
 
 def concat_vectors(spark, sf_dir):
+    """Every number of the joined vector with its place, and the slice it came from."""
     both = concat_features(F.col("mfcc"), F.col("energy"))
     return _features(spark, sf_dir).select(
-        "vec_id",
-        F.size(both).alias("n_features"),
-        both[0].alias("first_mfcc"),
-        both[score.MFCC_FEATURES].alias("first_energy"),
-        F.element_at(both, -1).alias("last_energy"),
+        "vec_id", F.posexplode(both).alias("place", "feature")
     )
 
 
@@ -150,7 +147,8 @@ CHECKS = {
     "branch_loss": (branch_loss, _loss_sql()),
     "concat_vectors": (
         concat_vectors,
-        "SELECT vec_id, 18 AS n_features, embedding[6] AS first_mfcc,"
-        " embedding[1] AS first_energy, embedding[5] AS last_energy FROM embeddings",
+        "SELECT vec_id, place::INTEGER AS place, v[place + 1] AS feature FROM ("
+        "SELECT vec_id, embedding[6:18] || embedding[1:5] AS v, unnest(range(18)) AS place"
+        " FROM embeddings)",
     ),
 }

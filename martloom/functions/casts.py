@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,17 +30,21 @@ NULL_MARKERS = (
     "null",
 )
 
-# Timestamp shape, and the range of nanosecond timestamps in whole seconds.
-TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-FIRST_TIMESTAMP = "1677-09-21 00:12:44"
-LAST_TIMESTAMP = "2262-04-11 23:47:16"
+# The parts of a timestamp pattern, with what each looks like in text.
+_PATTERN_PARTS = {
+    "yyyy": r"(\d{4})", "MM": r"(\d{2})", "dd": r"(\d{2})",
+    "HH": r"(\d{2})", "mm": r"(\d{2})", "ss": r"(\d{2})",
+}
+TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 # What a CSV number looks like. The shapes are tested before the cast: Java alone would also read
 # `1d` or `0x1p3`, and a cast that fails raises and catches an error for every such row.
 _NUMBER_SHAPE = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 )
-_WHOLE_SHAPE = {"int": r"^\s*[+-]?\d{1,10}\s*$", "bigint": r"^\s*[+-]?\d{1,19}\s*$"}
+_WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+# Ends of the whole number types as doubles: a double at or beyond them would saturate in a cast.
+_LIMIT = {"int": 2.0**31, "bigint": 2.0**63}
 
 
 def marker_to_null(col: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Column:
@@ -75,16 +81,24 @@ def strict_int(col: Column, type_: str = "int") -> Column:
     )
 
 
-def lenient_timestamp(col: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss` without zone; any other text is NULL."""
-    value = F.when(col.rlike(TIMESTAMP_SHAPE), col).try_cast("timestamp_ntz")
-    return F.when(
-        value.between(
-            F.lit(FIRST_TIMESTAMP).cast("timestamp_ntz"),
-            F.lit(LAST_TIMESTAMP).cast("timestamp_ntz"),
-        ),
-        value,
+def lenient_timestamp(col: Column, pattern: str = TIMESTAMP_PATTERN) -> Column:
+    """Timestamp without zone in text of the given pattern; any other text is NULL.
+
+    A pattern consists of yyyy, MM, dd, HH, mm, ss and other signs, which stand for themselves; a
+    column of dates only has a pattern without HH, mm and ss.
+    """
+    pieces = re.split("(" + "|".join(_PATTERN_PARTS) + ")", pattern)
+    shape = "".join(_PATTERN_PARTS.get(p) or re.escape(p) for p in pieces)
+    place = {part: i + 1 for i, part in enumerate(p for p in pieces if p in _PATTERN_PARTS)}
+
+    def part(name: str) -> Column:
+        return F.regexp_extract(col, f"^{shape}$", place[name]) if name in place else F.lit("00")
+
+    iso = col if pattern == TIMESTAMP_PATTERN else F.concat(
+        part("yyyy"), F.lit("-"), part("MM"), F.lit("-"), part("dd"), F.lit(" "),
+        part("HH"), F.lit(":"), part("mm"), F.lit(":"), part("ss"),
     )
+    return F.when(col.rlike(f"^{shape}$"), iso).try_cast("timestamp_ntz")
 
 
 def money(col: Column) -> Column:
@@ -95,13 +109,17 @@ def money(col: Column) -> Column:
 
 
 def _whole(col: Column, type_: str) -> Column:
-    return F.when(col.rlike(_WHOLE_SHAPE[type_]), col).try_cast(type_)
+    """Digits alone are read exactly; what the type can't hold is left to fail in `_cut`."""
+    exact = F.when(col.rlike(_WHOLE_SHAPE), F.trim(col)).try_cast("decimal(38,0)")
+    return exact.try_cast(type_)
 
 
 def _cut(number: Column, type_: str) -> Column:
     """Reached only by text that is no whole number of `type_` as it stands."""
+    inside = (number > -_LIMIT[type_] - 1) & (number < _LIMIT[type_])
     return F.coalesce(
-        number.try_cast(type_), F.when(number.isNotNull(), _fail(f"outside {type_}", number))
+        F.when(inside, number).try_cast(type_),
+        F.when(number.isNotNull(), _fail(f"outside {type_}", number)),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import casts
 from martloom.operators.rows import cascade_prune, dedup_first, keep_known, require_text
-from martloom.sources.files import INPUT_ORDER, read_csv_text
+from martloom.sources.files import FAIL_LONG, INPUT_ORDER, read_csv_text
 from martloom.specs import DOUBLE, INT, LONG, SOURCE_TABLES, TIME, TableSpec
 
 # Tables in which only the first row of a key is kept, by position in the input.
@@ -19,7 +19,7 @@ FIRST_ROW_KEPT = ("geolocations", "order_reviews")
 def typed_column(spec: TableSpec, name: str) -> Column:
     col, type_ = F.col(name), spec.types[name]
     if type_ == TIME:
-        return casts.lenient_timestamp(col)
+        return casts.lenient_timestamp(col, spec.formats.get(name, casts.TIMESTAMP_PATTERN))
     if type_ == INT:
         return casts.lenient_int(col) if name in spec.lenient else casts.strict_int(col)
     if type_ == LONG:
@@ -34,28 +34,35 @@ def type_table(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return raw.withColumns({c: typed_column(spec, c) for c in spec.columns})
 
 
-def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+def read_raw(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    mode: str = FAIL_LONG,
+    specs: Mapping[str, TableSpec] = SOURCE_TABLES,
+) -> dict[str, DataFrame]:
     """The CSV file or folder of each table, in text columns."""
     return {
         name: read_csv_text(
-            spark, path, SOURCE_TABLES[name], keep_order=name in FIRST_ROW_KEPT
+            spark, path, specs[name], keep_order=name in FIRST_ROW_KEPT, mode=mode
         )
         for name, path in paths.items()
     }
 
 
-def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def clean_tables(
+    raw: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = SOURCE_TABLES
+) -> dict[str, DataFrame]:
     """Typed tables, pruned and deduplicated.
 
     Products without a known category go, and with them their order lines; orders, payments and
     reviews stay as they are, so an order may be left without lines. Coordinates are compared as
     numbers, so `-23.50` and `-23.5` are one point.
     """
-    typed = {name: type_table(df, SOURCE_TABLES[name]) for name, df in raw.items()}
+    typed = {name: type_table(df, specs[name]) for name, df in raw.items()}
     clean = dict(typed)
     for name in FIRST_ROW_KEPT:
         if name in typed:
-            first = dedup_first(typed[name], SOURCE_TABLES[name].key, [INPUT_ORDER])
+            first = dedup_first(typed[name], specs[name].key, [INPUT_ORDER])
             clean[name] = first.drop(INPUT_ORDER)
     if "products" in typed:
         products, categories = typed["products"], typed["product_category_name_translation"]
@@ -66,5 +73,12 @@ def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return clean
 
 
-def ingest(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return clean_tables(read_raw(spark, paths))
+def ingest(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    mode: str = FAIL_LONG,
+    specs: Mapping[str, TableSpec] = SOURCE_TABLES,
+) -> dict[str, DataFrame]:
+    """`specs` may give other timestamp patterns (`TableSpec.formats`), `mode` is that of
+    `read_csv_text`."""
+    return clean_tables(read_raw(spark, paths, mode, specs), specs)

@@ -21,7 +21,7 @@ from martloom.operators.rows import (
     require_positive,
     smallest_per_key,
 )
-from martloom.shared import side_by_side
+from martloom.shared import side_by_side, written
 from martloom.specs import (
     DIM_CUSTOMER,
     DIM_GEOLOCATION,
@@ -49,43 +49,55 @@ def _insert_dimension(
     natural: str,
     required: Sequence[str],
     existing: DataFrame | None,
+    key_type: str,
 ) -> DataFrame:
     """Known rows as they are; new natural keys get keys after the largest one in use."""
     (key,) = spec.key
     given = require_not_null(src.select(*spec.columns[1:]), required)
     if existing is None:
-        return project(assign_keys(smallest_per_key(given, [natural]), [natural], key), spec)
+        rows = smallest_per_key(given, [natural])
+        return project(assign_keys(rows, [natural], key, key_type=key_type), spec)
     fresh = new_rows(existing, given, [natural])
-    keyed = assign_keys(fresh, [natural], key, start=last_key(existing, key))
+    keyed = assign_keys(fresh, [natural], key, last_key(existing, key), key_type)
     return existing.select(*spec.columns).unionByName(keyed)
 
 
-def build_dim_customer(customers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def build_dim_customer(
+    customers: DataFrame, existing: DataFrame | None = None, key_type: str = "int"
+) -> DataFrame:
     required = DIM_CUSTOMER.columns[2:]
-    return _insert_dimension(customers, DIM_CUSTOMER, "customer_id", required, existing)
+    return _insert_dimension(customers, DIM_CUSTOMER, "customer_id", required, existing, key_type)
 
 
-def build_dim_seller(sellers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def build_dim_seller(
+    sellers: DataFrame, existing: DataFrame | None = None, key_type: str = "int"
+) -> DataFrame:
     required = DIM_SELLER.columns[2:]
-    return _insert_dimension(sellers, DIM_SELLER, "seller_id", required, existing)
+    return _insert_dimension(sellers, DIM_SELLER, "seller_id", required, existing, key_type)
 
 
-def build_dim_payment_type(payments: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def build_dim_payment_type(
+    payments: DataFrame, existing: DataFrame | None = None, key_type: str = "int"
+) -> DataFrame:
     name = "payment_type"
-    return _insert_dimension(payments, DIM_PAYMENT_TYPE, name, [name], existing)
+    return _insert_dimension(payments, DIM_PAYMENT_TYPE, name, [name], existing, key_type)
 
 
-def build_dim_order_status(orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def build_dim_order_status(
+    orders: DataFrame, existing: DataFrame | None = None, key_type: str = "int"
+) -> DataFrame:
     name = "order_status"
-    return _insert_dimension(orders, DIM_ORDER_STATUS, name, [name], existing)
+    return _insert_dimension(orders, DIM_ORDER_STATUS, name, [name], existing, key_type)
 
 
-def build_dim_geolocation(geolocations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def build_dim_geolocation(
+    geolocations: DataFrame, existing: DataFrame | None = None, key_type: str = "int"
+) -> DataFrame:
     """Distinct places, appended to the existing ones whether known or not."""
     places = DIM_GEOLOCATION.columns[1:]
     given = distinct_rows(require_not_null(geolocations, places[:3]), places)
     key = "geolocation_key"
-    keyed = assign_keys(given, places, key, start=last_key(existing, key))
+    keyed = assign_keys(given, places, key, last_key(existing, key), key_type)
     fresh = project(keyed, DIM_GEOLOCATION)
     return fresh if existing is None else existing.select(*fresh.columns).unionByName(fresh)
 
@@ -95,6 +107,7 @@ def build_dim_product(
     translation: DataFrame,
     existing: DataFrame | None = None,
     on_dup: str = "error",
+    key_type: str = "int",
 ) -> DataFrame:
     """Products with known category and positive measures, merged into the existing ones.
 
@@ -108,14 +121,17 @@ def build_dim_product(
     given = require_positive(require_not_null(named, columns[1:]), PRODUCT_MEASURES)
     given = single_per_key(given.select(*columns), ["product_id"], on_dup)
     if existing is None:
-        rows = assign_keys(given, ["product_id"], "product_key")
+        rows = assign_keys(given, ["product_id"], "product_key", key_type=key_type)
     else:
+        given = written(given, "given")  # read twice below
         known = update_matched(
             existing.select("product_key", *columns), given, ["product_id"], columns[1:]
         )
         fresh = given.join(existing.select("product_id"), "product_id", "left_anti")
         start = last_key(existing, "product_key")
-        rows = known.unionByName(assign_keys(fresh, ["product_id"], "product_key", start))
+        rows = known.unionByName(
+            assign_keys(fresh, ["product_id"], "product_key", start, key_type)
+        )
     space = volume(*[F.col(c) for c in PRODUCT_MEASURES[1:]])
     return project(
         rows.withColumn("product_volume_cm3", space).withColumn(
@@ -201,9 +217,17 @@ def build_fact_order_item(
     line, key = ["order_id", "order_item_id"], "order_item_fact_key"
     if existing is None:
         return project(assign_keys(rows, line, key, key_type="long"), FACT_ORDER_ITEM)
-    known = update_matched(project(existing, FACT_ORDER_ITEM), rows, line, rows.columns[2:])
-    fresh = rows.join(existing.select(*line), line, "left_anti")
-    start = last_key(existing, key)
+    # one join tells new lines from known ones and is written; only the new ones are sorted
+    old = existing.select(*line, F.struct(key, *rows.columns[2:]).alias("_old"))
+    new = rows.select(*line, F.struct(*rows.columns[2:]).alias("_new"))
+    both = written(old.join(new, line, "full_outer"), "lines")
+    values = [
+        F.coalesce("_new", F.struct(*[f"_old.{c}" for c in rows.columns[2:]]))[c].alias(c)
+        for c in rows.columns[2:]
+    ]
+    known = both.where("_old IS NOT NULL").select(F.col(f"_old.{key}").alias(key), *line, *values)
+    fresh = both.where("_old IS NULL").select(*line, *values)
+    start = last_key(known, key)
     return known.unionByName(assign_keys(fresh, line, key, start, key_type="long"))
 
 

@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# A bucket is read by one task: about as much as a task should hold.
+BUCKET_BYTES = 128 << 20
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for a table of the estimated size of `df`: as many as keep them near
+    `bucket_bytes`, but no fewer than the session's shuffle partitions."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+
+
 def save_hashed(
     df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str
 ) -> DataFrame:

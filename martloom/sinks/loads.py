@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from functools import partial
 from graphlib import TopologicalSorter
 
@@ -12,14 +12,28 @@ from pyspark.sql import functions as F
 from martloom.functions.text import staged_text, truncate_text
 from martloom.operators.rows import project
 from martloom.shared import side_by_side
+from martloom.sinks.layout import save_hashed
 from martloom.sinks.staging import StagingTable
 from martloom.specs import SOURCE_TABLES, TableSpec
 
 
-def load_full(df: DataFrame, path: str) -> int:
-    """Replace the table at `path`; the number of rows is counted while they are written."""
+def load_full(
+    df: DataFrame,
+    path: str,
+    table: str | None = None,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+) -> int:
+    """Replace the table at `path`; the number of rows is counted while they are written.
+
+    With `buckets` it is hash-distributed by `keys` and entered in the catalog as `table`.
+    """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(path)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    if buckets:
+        save_hashed(counted, table, keys, buckets, path)
+    else:
+        counted.write.mode("overwrite").parquet(path)
     return seen.get["n_rows"]
 
 
@@ -37,11 +51,21 @@ def load_order(specs: Iterable[TableSpec]) -> list[str]:
 
 
 def load_all(
-    frames: Mapping[str, DataFrame], target: str, specs: Mapping[str, TableSpec] = SOURCE_TABLES
+    frames: Mapping[str, DataFrame],
+    target: str,
+    specs: Mapping[str, TableSpec] = SOURCE_TABLES,
+    buckets: int | None = None,
+    prefix: str = "hashed_",
 ) -> dict[str, int]:
-    """Full refresh of each table, parents first; tables written before a failure stay."""
+    """Full refresh of each table, parents first; tables written before a failure stay.
+
+    With `buckets` every table is hash-distributed by its key, as `<prefix><name>` in the catalog.
+    """
     return {
-        name: load_full(project(frames[name], specs[name]), f"{target}/{name}")
+        name: load_full(
+            project(frames[name], specs[name]), f"{target}/{name}", f"{prefix}{name}",
+            specs[name].key, buckets,
+        )
         for name in load_order(specs[n] for n in frames)
     }
 
@@ -76,21 +100,33 @@ def run_copies(
     names: Sequence[str] | None = None,
     specs: Mapping[str, TableSpec] = SOURCE_TABLES,
     at_once: int = 4,
+    raw: Collection[str] = (),
+    keys: Mapping[str, Sequence[str]] | None = None,
+    order: Mapping[str, Sequence[str]] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Copy all tables, or those named, into staging; a failed copy does not stop the others.
 
-    `at_once` copies run side by side. Returns (table_name, status, n_rows, error), one row per
-    copy.
+    `at_once` copies run side by side. Tables in `raw` are copied without cleaning, `keys` gives
+    some tables another key than that of their spec. Of rows with one key the last by the table's
+    `order` columns stays; without such columns, or where they tie, a repeated key fails the copy.
+    With `buckets` each table also gets its first snapshot, hash-distributed by key. Returns
+    (table_name, status, n_rows, error), one row per copy.
     """
 
     def copy(name: str):
         seen = Observation()
         try:
             spec = specs[name]
-            table = StagingTable.of(f"{target}/{name}", spec)
+            table = StagingTable.of(
+                f"{target}/{name}", spec, (order or {}).get(name, ()), buckets,
+                (keys or {}).get(name), unique=True,
+            )
             table.create_if_absent(spark)
-            rows = staged(read(spec), spec)
+            rows = staged(read(spec), spec, raw=name in raw)
             table.upsert(rows.observe(seen, F.count(F.lit(1)).alias("n_rows")))
+            if buckets:
+                table.compact(spark)
             return name, "OK", seen.get["n_rows"], None
         except Exception as failure:  # whatever one copy raises, the others still run
             return name, "FAILED", None, f"{type(failure).__name__}: {failure}"

@@ -24,9 +24,13 @@ def read_changes(
     spec: TableSpec,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Stream of the change files that arrive in `path`."""
+    """Stream of the change files that arrive in `path`; a micro-batch takes as many files or
+    bytes as given."""
     reader = spark.readStream.schema(change_schema(spec)).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)

@@ -37,6 +37,8 @@ class TableSpec:
     # text columns written by people: may hold line breaks, cleaned before staging
     free_text: tuple[str, ...] = ()
     limits: dict[str, int] = field(default_factory=dict)
+    # patterns of timestamp columns that are not in `yyyy-MM-dd HH:mm:ss`
+    formats: dict[str, str] = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:

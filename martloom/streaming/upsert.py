@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +15,21 @@ from martloom.specs import SOURCE_TABLES, TableSpec
 
 # Fixed value: flush interval of the buffered sink.
 FLUSH_INTERVAL = "5 seconds"
+# Micro-batches between two compactions: a reader opens at most so many folders.
+COMPACT_EVERY = 20
 
 
 def stream_changes(
-    spark: SparkSession, spec: TableSpec, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    return read_changes(spark, path, spec, max_files_per_trigger=max_files_per_trigger)
+    return read_changes(
+        spark, path, spec, max_files_per_trigger=max_files_per_trigger,
+        max_bytes_per_trigger=max_bytes_per_trigger,
+    )
 
 
 def stream_clean(stream: DataFrame, spec: TableSpec) -> DataFrame:
@@ -35,16 +43,24 @@ def stream_upsert(
     checkpoint: str,
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep the last row per key in `target`.
 
-    Every micro-batch is reduced to one row per key and stored under the name of its checkpoint
-    and number, so a micro-batch that runs again after a failure replaces its first try.
+    Every micro-batch is reduced to one row per key and stored under the id of its query and its
+    number. The id lives in the checkpoint: a micro-batch that runs again after a failure takes
+    the place of its first try, and a stream with a new checkpoint never takes another's. Every
+    `compact_every` micro-batches the target is compacted and older folders are removed, so their
+    number stays bounded.
     """
-    stream_id = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
 
     def flush(rows: DataFrame, number: int) -> None:
-        target.upsert(rows, source=f"{stream_id}-{number}")
+        spark = rows.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target.upsert(rows, source=f"{query_id}-{number}")
+        if number % compact_every == compact_every - 1:
+            target.compact(spark)
+            target.vacuum(spark)
 
     writer = stream.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     if available_now:
@@ -82,15 +98,19 @@ def stream_published(
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    specs: Mapping[str, TableSpec] = SOURCE_TABLES,
 ) -> dict[str, StreamingQuery]:
     """One change stream per published table, from `<source>/<name>` into `<target>/<name>`.
 
     Reviews are cleaned and cut on the way, as in the batch copies.
     """
     started = {}
-    for name in names or list(SOURCE_TABLES):
-        spec = SOURCE_TABLES[name]
-        changes = stream_changes(spark, spec, f"{source}/{name}", max_files_per_trigger)
+    for name in names or list(specs):
+        spec = specs[name]
+        changes = stream_changes(
+            spark, spec, f"{source}/{name}", max_files_per_trigger, max_bytes_per_trigger
+        )
         clean = staged(changes, spec, keep=(OP, SEQ))
         started[name] = stream_apply_changes(
             clean,

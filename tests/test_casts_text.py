@@ -9,6 +9,8 @@ from martloom.functions.calendar import calendar_columns
 from martloom.functions.measures import density, volume
 from martloom.functions.text import clean_controls, staged_text, truncate_text
 from martloom.operators.rows import null_markers
+from martloom.plans.ingest import type_table
+from martloom.specs import TIME, TableSpec
 
 
 def values(df):
@@ -45,6 +47,15 @@ def test_strict_bigint_keeps_all_digits(rows):
         9007199254740993,
         -9223372036854775808,
     ]
+    assert apply(rows, ["9223372036854775807", "7.9", "1e3"], as_long) == [2**63 - 1, 7, 1000]
+
+
+@pytest.mark.parametrize(
+    "bad", ["9223372036854775808", "9223372036854775900", "-9223372036854775809", "9223372036854775808.0", "1e19"]
+)
+def test_bigint_out_of_range_fails(rows, bad):
+    with pytest.raises(Exception, match="outside bigint"):
+        apply(rows, ["1", bad], lambda c: casts.strict_int(c, "bigint"))
 
 
 def test_strict_double(rows):
@@ -72,9 +83,30 @@ def test_lenient_timestamp(rows):
         "2017-09-19 09:45:35.5",
         None,
     ]
-    assert apply(rows, given, casts.lenient_timestamp) == [dt.datetime(2017, 9, 19, 9, 45, 35)] + [
-        None
-    ] * 7
+    found = apply(rows, given, casts.lenient_timestamp)
+    assert found == [dt.datetime(2017, 9, 19, 9, 45, 35), None, None, None, None,
+                     dt.datetime(9999, 12, 31), None, None]
+    assert apply(rows, ["2300-01-01 00:00:00", "1500-03-01 00:00:00"], casts.lenient_timestamp) == [
+        dt.datetime(2300, 1, 1), dt.datetime(1500, 3, 1)
+    ]
+
+
+def test_timestamp_patterns(rows):
+    def of(pattern, *texts):
+        return apply(rows, list(texts), lambda c: casts.lenient_timestamp(c, pattern))
+
+    assert of("yyyy-MM-dd", "2017-09-19", "2017-02-30", "2017-09-19 01:02:03", None) == [
+        dt.datetime(2017, 9, 19), None, None, None
+    ]
+    assert of("dd/MM/yyyy HH:mm", "19/09/2017 23:59", "2017-09-19", "40/09/2017 10:00") == [
+        dt.datetime(2017, 9, 19, 23, 59), None, None
+    ]
+
+
+def test_pattern_of_a_column_comes_from_its_table(rows):
+    spec = TableSpec("t", dict(day=TIME, at=TIME), key=(), formats={"day": "yyyy-MM-dd"})
+    got = type_table(rows([("2017-09-19", "2017-09-19 01:00:00")], "day string, at string"), spec)
+    assert tuple(got.first()) == (dt.datetime(2017, 9, 19), dt.datetime(2017, 9, 19, 1))
 
 
 def test_lenient_timestamp_ignores_the_session_zone(spark, rows):

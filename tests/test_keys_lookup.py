@@ -134,3 +134,17 @@ def test_hot_key_is_split(spark, shuffled_joins):
         assert len(joined.collect()) == 60000
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan
+
+
+def test_input_of_keys_is_computed_once(spark):
+    """Neither the bounds of the sort nor its rows cost a second run of what they come from."""
+    ran = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            ran.add(len(batch))
+            yield batch
+
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k")).mapInPandas(seen, "k string")
+    assert assign_keys(df, ["k"], "key").count() == 1000
+    assert ran.value == 1000

@@ -55,13 +55,19 @@ def test_crlf_records_with_inner_lf_are_split(spark, tmp_path):
     assert found == {f"r{i}": f'one\ntwo, "{i}"' for i in range(3000)}
 
 
-def test_row_of_another_width_fails(spark, tmp_path):
+def test_a_short_row_is_filled_and_a_long_one_fails(spark, tmp_path):
     head = ",".join(CUSTOMERS.columns)
-    path = put(tmp_path / "c.csv", f"{head}\n1,2,3\n")
+    short = put(tmp_path / "c.csv", f"{head}\n1,2,3\n")
+    assert tuple(read_csv_text(spark, short, CUSTOMERS).first()) == ("1", "2", "3", None, None)
     with pytest.raises(Exception, match="MALFORMED"):
-        read_csv_text(spark, path, CUSTOMERS).collect()
-    kept = read_csv_text(spark, path, CUSTOMERS, mode="PERMISSIVE").first()
-    assert tuple(kept) == ("1", "2", "3", None, None)
+        read_csv_text(spark, short, CUSTOMERS, mode="FAILFAST").collect()
+    for surplus in ("1,2,3,4,5,6", "1,2,3,4,5,", '1,2,"3,3",4,5,,'):
+        long = put(tmp_path / f"{len(surplus)}.csv", f"{head}\n1,2,3,4,5\n{surplus}\n")
+        with pytest.raises(Exception, match="row too long"):
+            read_csv_text(spark, long, CUSTOMERS).select("customer_id").collect()
+        assert read_csv_text(spark, long, CUSTOMERS, mode="PERMISSIVE").count() == 2
+    exact = put(tmp_path / "e.csv", f'{head}\n1,2,"3,3",4,\n')
+    assert tuple(read_csv_text(spark, exact, CUSTOMERS).first()) == ("1", "2", "3,3", "4", None)
 
 
 def test_wrong_header_fails(spark, tmp_path):

@@ -1,4 +1,5 @@
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,7 +101,35 @@ def test_micro_batch_that_failed_after_its_write_is_written_again(spark, rows, t
     target.upsert(rows([("a", 2)], "k string, v int"))
     run(target)
     assert found(target.current(spark)) == [("a", 2), ("b", 1)]
-    assert len([d for d in (tmp_path / "t").iterdir() if d.name.startswith("batch-")]) == 2
+    names = [d.name for d in (tmp_path / "t").iterdir() if d.name.endswith(".done")]
+    numbers = sorted(n.split("-")[1] for n in names)
+    assert numbers == ["0", "0", "1"]  # both tries have one place
+
+
+def test_a_new_checkpoint_at_the_old_place_is_another_stream(spark, rows, tmp_path):
+    target = StagingTable.of(str(tmp_path / "t"), SPEC)
+    for turn, data in enumerate(([("a", 1)], [("a", 2), ("b", 2)])):
+        source = str(tmp_path / f"in{turn}")
+        rows(data, "k string, v int").coalesce(1).write.parquet(source)
+        stream = spark.readStream.schema("k string, v int").parquet(source)
+        stream_upsert(stream, target, str(tmp_path / "cp"), available_now=True).awaitTermination()
+        target.compact(spark)
+        shutil.rmtree(tmp_path / "cp")
+    assert found(target.current(spark)) == [("a", 2), ("b", 2)]
+
+
+def test_folders_stay_few_however_many_micro_batches(spark, rows, tmp_path):
+    target = StagingTable.of(str(tmp_path / "t"), SPEC)
+    source = str(tmp_path / "in")
+    rows([(f"k{i % 7}", i) for i in range(50)], "k string, v int").repartition(50).write.option(
+        "maxRecordsPerFile", 1
+    ).parquet(source)
+    stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(source)
+    query = stream_upsert(stream, target, str(tmp_path / "cp"), available_now=True, compact_every=5)
+    query.awaitTermination()
+    assert query.lastProgress["batchId"] >= 48
+    assert sum(d.is_dir() for d in (tmp_path / "t").iterdir()) <= 13
+    assert len(found(target.current(spark))) == 7
 
 
 def test_stream_does_not_replace_a_batch_load(spark, rows, tmp_path):
