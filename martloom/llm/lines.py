@@ -3,7 +3,9 @@
 Lines are exploded with their positions, hashed by their normalised form (128 bits) and counted
 once per document. What the count finds goes back to the documents as positions, and each document
 is put together again from the positions it keeps. Only hashes and positions are exploded, texts
-are shuffled once, whole; a line found in a third of all documents sends one count per task.
+are shuffled once, whole. A line found in a third of all documents sends one count per task; the
+join that gives it its positions has written tables on both sides, so Spark broadcasts the common
+lines if they are few and splits a hot one if not.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import lower_ascii, text_key
+from martloom.shared import written
 
 MIN_DOCUMENTS = 10
 MIN_CHARS = 1
@@ -23,21 +26,17 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return lower_ascii(F.btrim(line, F.lit(_WHITE)))
-
-
 def _hashes(text: Column, min_chars: int) -> Column:
     """A hash for each line, NULL for lines whose key is too short to count."""
 
     def hashed(line):
-        key = line_key(line)
+        key = F.btrim(line, F.lit(_WHITE))
         return F.when(
             F.length(key) >= min_chars,
             F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")),
         )
 
-    return F.transform(lines_of(text), hashed)
+    return F.transform(lines_of(lower_ascii(text)), hashed)
 
 
 def without_common_lines(
@@ -52,16 +51,19 @@ def without_common_lines(
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
-    hashed = docs.select(
-        *text_key("doc_id", "text"), _hashes(F.col("text"), min_chars).alias("hashes")
+    # written: both passes below need the hashes, which cost more than anything else here
+    hashed = written(
+        docs.select(*text_key("doc_id", "text"), _hashes(F.col("text"), min_chars).alias("hashes")),
+        "line-hashes",
     )
-    common = (
+    common = written(
         hashed.select(F.explode(F.array_distinct("hashes")).alias("h"))
         .where("h IS NOT NULL")
         .groupBy("h.h1", "h.h2")
         .count()
         .where(F.col("count") >= min_documents)
-        .select("h1", "h2")
+        .select("h1", "h2"),
+        "common-lines",
     )
     dropped = (
         hashed.select("k1", "k2", F.posexplode("hashes").alias("at", "h"))
