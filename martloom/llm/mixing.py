@@ -83,7 +83,7 @@ def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         "source",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).alias("repeats"),
-        (F.col("target") % F.col("source_size")).alias("left"),
+        F.try_mod(F.col("target"), F.col("source_size").cast("double")).alias("left"),
         F.lit(None).cast("bigint").alias("bucket"),
     ).withColumn("left", F.coalesce("left", F.lit(0.0)))
     upto = W.partitionBy("source").orderBy("bucket")
