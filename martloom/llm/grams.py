@@ -22,3 +22,23 @@ def gram_buckets(data: np.ndarray, n: int, bits: int) -> np.ndarray:
     packed ^= packed >> np.uint64(32)
     packed *= _MULTIPLIER
     return (packed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def word_buckets(data: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and bucket of each run of bytes above 32 (a word, in text prepared for it).
+
+    A word's hash is a polynomial in its bytes: a difference of running sums, divided by the power
+    at its start. All is modulo 2**64, where an odd base has an inverse.
+    """
+    edges = np.diff(np.concatenate([[False], data > 32, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if not len(starts):
+        return starts, starts
+    inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+    powers = np.cumprod(np.full(len(data), _MULTIPLIER, dtype=np.uint64))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers * (data + np.uint64(1)))])
+    back = np.cumprod(np.full(len(data), inverse, dtype=np.uint64))[starts]
+    hashed = (running[ends] - running[starts]) * back
+    hashed ^= hashed >> np.uint64(32)
+    hashed *= _MULTIPLIER
+    return starts, (hashed >> np.uint64(64 - bits)).astype(np.int64)

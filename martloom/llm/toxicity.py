@@ -1,12 +1,13 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence's score is a logistic function of its hashed byte
-n-grams, a document's is the noisy-or of its sentences, and the weights are fitted so that the
+A document is a bag of sentences. A sentence's score is a logistic function of its hashed words and
+byte n-grams, a document's is the noisy-or of its sentences, and the weights are fitted so that the
 document scores agree with document labels. The sentence scores then say where the offence is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,15 +15,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.grams import gram_buckets
+from martloom.llm.grams import gram_buckets, word_buckets
 from martloom.shared import written
 
 SIZES = (4, 5, 6)
 BITS = 18
 MAX_LABELLED = 5_000
-FEATURES = 4_000
+FEATURES = 2_000
 ROUNDS = 200
+RIDGE = 1e-4
 
+_PIECE = 1 << 20
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz"
 #: Ends of sentences become line breaks, what is neither letter nor digit becomes a space.
 _TO_SENTENCES = bytes(
@@ -37,29 +40,48 @@ class Model:
     bias: float
 
 
-def sentence_bytes(text: str | None) -> np.ndarray:
-    """The lower-cased text as bytes, with one line break more at its end than its sentences."""
-    data = (text or "").lower().encode().translate(_TO_SENTENCES)
-    return np.frombuffer(data + b"\n" * max(SIZES), dtype=np.uint8)
+def pieces(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
+    """The lower-cased text as bytes, in pieces of whole sentences with their offsets.
+
+    A piece has about `_PIECE` bytes, more only where one sentence has, so that a long text needs
+    no arrays of its own length.
+    """
+    data = (text or "").lower().encode().translate(_TO_SENTENCES) + b"\n"
+    at = 0
+    while at < len(data):
+        end = data.rfind(b"\n", at, at + _PIECE) + 1
+        if not end:
+            end = data.index(b"\n", at) + 1
+        yield at, np.frombuffer(data[at:end], dtype=np.uint8)
+        at = end
 
 
 def sentence_starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each piece between line breaks, and whether it holds a letter or digit."""
+    """Start of each stretch between line breaks, and whether it holds a letter or digit."""
     starts = np.concatenate([[0], np.flatnonzero(data[:-1] == _END) + 1])
-    filled = np.maximum.reduceat(data > 32, starts)
-    return starts, filled
+    return starts, np.maximum.reduceat(data > 32, starts)
+
+
+def features(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and buckets of the n-grams of each size, then of the words."""
+    for n in SIZES:
+        buckets = gram_buckets(data, n, BITS)
+        yield np.arange(len(buckets)), buckets
+    yield word_buckets(data, BITS)
 
 
 def sentence_scores(text: str | None, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Starts (in bytes) and scores of the sentences that hold a letter or digit."""
-    data = sentence_bytes(text)
-    starts, filled = sentence_starts(data)
-    value = np.zeros(len(data), dtype=np.float64)
-    for n in SIZES:
-        part = model.weights[gram_buckets(data, n, BITS)]
-        value[: len(part)] += part
-    sums = np.add.reduceat(value, starts)[filled] + model.bias
-    return starts[filled], 1 / (1 + np.exp(-np.clip(sums, -60, 60)))
+    all_starts, all_scores = [], []
+    for offset, data in pieces(text):
+        starts, filled = sentence_starts(data)
+        value = np.zeros(len(data), dtype=np.float64)
+        for places, buckets in features(data):
+            value[places] += model.weights[buckets]
+        sums = np.add.reduceat(value, starts)[filled] + model.bias
+        all_starts.append(offset + starts[filled])
+        all_scores.append(1 / (1 + np.exp(-np.clip(sums, -60, 60))))
+    return np.concatenate(all_starts), np.concatenate(all_scores)
 
 
 def noisy_or(scores: np.ndarray) -> float:
@@ -84,15 +106,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
 
 
 def _telling_buckets(sample: DataFrame, most: int) -> np.ndarray:
-    """The n-gram buckets whose presence in a document depends most on its label (chi square)."""
+    """The buckets that speak most for the label (chi square), of those that do speak for it."""
 
     def count(batches):
         sums = np.zeros((2, 1 << BITS), dtype=np.int64)
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                data = sentence_bytes(text)
-                found = np.unique(np.concatenate([gram_buckets(data, n, BITS) for n in SIZES]))
-                sums[int(toxic > 0), found] += 1
+                seen = np.zeros(1 << BITS, dtype=bool)
+                for _, data in pieces(text):
+                    for _, buckets in features(data):
+                        seen[buckets] = True
+                sums[int(toxic > 0)] += seen
         bucket = np.flatnonzero(sums.any(axis=0))
         yield pd.DataFrame({"bucket": bucket, "n0": sums[0, bucket], "n1": sums[1, bucket]})
 
@@ -108,6 +132,7 @@ def _telling_buckets(sample: DataFrame, most: int) -> np.ndarray:
     t0, t1 = float(by_class.get(0, 0)), float(by_class.get(1, 0))
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = (n1 * (t0 - n0) - n0 * (t1 - n1)) ** 2 / ((n0 + n1) * (t0 + t1 - n0 - n1))
+        chi = np.where(n1 * t0 > n0 * t1, chi, 0.0)
     chi = np.nan_to_num(chi, nan=0.0, posinf=0.0)
     order = np.lexsort((bucket, -chi))[:most]
     return np.sort(bucket[order[chi[order] > 0]])
@@ -123,19 +148,20 @@ def _bags(sample: DataFrame, buckets: np.ndarray) -> list:
         for batch in batches:
             out = []
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                data = sentence_bytes(text)
-                starts, filled = sentence_starts(data)
-                number = np.cumsum(filled) - 1
-                at, which = [], []
-                for n in SIZES:
-                    found = index[gram_buckets(data, n, BITS)]
-                    place = np.flatnonzero(found >= 0)
-                    owner = np.searchsorted(starts, place, side="right") - 1
-                    inside = filled[owner]
-                    at.append(number[owner[inside]])
-                    which.append(found[place[inside]])
+                at, which, n = [np.zeros(0, int)], [np.zeros(0, int)], 0
+                for _, data in pieces(text):
+                    starts, filled = sentence_starts(data)
+                    number = n + np.cumsum(filled) - 1
+                    for places, buckets in features(data):
+                        found = index[buckets]
+                        known = found >= 0
+                        owner = np.searchsorted(starts, places[known], side="right") - 1
+                        inside = filled[owner]
+                        at.append(number[owner[inside]])
+                        which.append(found[known][inside])
+                    n += int(filled.sum())
                 out.append(
-                    (int(toxic > 0), int(filled.sum()),
+                    (int(toxic > 0), n,
                      np.concatenate(at).astype(np.int32).tobytes(),
                      np.concatenate(which).astype(np.int32).tobytes())
                 )
@@ -144,23 +170,18 @@ def _bags(sample: DataFrame, buckets: np.ndarray) -> list:
     return sample.mapInPandas(sparse, "toxic int, n int, at binary, which binary").collect()
 
 
-def fit(sample: DataFrame, features: int = FEATURES, rounds: int = ROUNDS) -> Model | None:
-    """Weights by gradient ascent (Adam) on the document likelihood; None if only one class, or
-    none, is labelled. Either class has half the weight; ties in the choice of `features` go to
-    the smaller bucket, so that reruns on one sample agree."""
-    sample = written(sample, "labelled")
-    buckets = _telling_buckets(sample, features)
-    bags = sorted((r for r in _bags(sample, buckets) if r.n), key=tuple)
-    y = np.array([r.toxic for r in bags], dtype=float)
-    if not len(bags) or y.min() == y.max():
-        return None
-    sizes = np.array([r.n for r in bags])
+def weigh(bags: list[tuple], features: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights and, last, the bias that maximise the likelihood of bags (toxic, sentences, sentence
+    of each feature, feature), by gradient ascent (Adam). Weights don't fall below zero: nothing in
+    a sentence makes up for an offence. Either class has half the weight."""
+    y = np.array([b[0] for b in bags], dtype=float)
+    sizes = np.array([b[1] for b in bags])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    sentence = np.concatenate([np.frombuffer(r.at, np.int32) + f for r, f in zip(bags, first)])
-    feature = np.concatenate([np.frombuffer(r.which, np.int32) for r in bags])
+    sentence = np.concatenate([b[2] + f for b, f in zip(bags, first)])
+    feature = np.concatenate([b[3] for b in bags])
     bag = np.repeat(np.arange(len(bags)), sizes)
     importance = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    theta = np.zeros(len(buckets) + 1)
+    theta = np.zeros(features + 1)
     theta[-1] = -4.0
     slope, square = np.zeros_like(theta), np.zeros_like(theta)
     for turn in range(1, rounds + 1):
@@ -170,14 +191,32 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = ROUNDS) -> Mo
         pull = np.where(y > 0, none / np.maximum(1 - none, 1e-9), -1.0) * importance
         by_sentence = p * pull[bag]
         gradient = np.append(
-            np.bincount(feature, weights=by_sentence[sentence], minlength=len(buckets)),
+            np.bincount(feature, weights=by_sentence[sentence], minlength=features),
             by_sentence.sum(),
         )
-        gradient[:-1] -= 1e-5 * theta[:-1]
+        gradient[:-1] -= RIDGE * theta[:-1]
         slope = 0.9 * slope + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         step = slope / (1 - 0.9**turn) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
         theta = theta + 0.1 * step
+        theta[:-1] = np.maximum(theta[:-1], 0.0)
+    return theta
+
+
+def fit(sample: DataFrame, features: int = FEATURES, rounds: int = ROUNDS) -> Model | None:
+    """The model of `sample(text, toxic)`, which must be bounded; None if only one class, or none,
+    is labelled. Ties in the choice of `features` go to the smaller bucket, so that reruns on one
+    sample agree."""
+    sample = written(sample, "labelled")
+    buckets = _telling_buckets(sample, features)
+    rows = sorted((r for r in _bags(sample, buckets) if r.n), key=tuple)
+    bags = [
+        (r.toxic, r.n, np.frombuffer(r.at, np.int32), np.frombuffer(r.which, np.int32))
+        for r in rows
+    ]
+    if len({b[0] for b in bags}) < 2:
+        return None
+    theta = weigh(bags, len(buckets), rounds)
     weights = np.zeros(1 << BITS, dtype=np.float32)
     weights[buckets] = theta[:-1]
     return Model(weights, float(theta[-1]))

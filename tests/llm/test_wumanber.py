@@ -1,0 +1,78 @@
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martloom.llm import wumanber
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_hits(text, items, size):
+    words, hit, found = plain_words(text), set(), set()
+    for item_id, item in items:
+        own = plain_words(item)
+        for at in range(max(1, len(own) - size + 1) if own else 0):
+            window = own[at : at + size]
+            for start in range(len(words) - len(window) + 1):
+                if words[start : start + len(window)] == window:
+                    hit |= set(range(start, start + len(window)))
+                    found.add("null" if item_id is None else str(item_id))
+    return len(words), len(hit), sorted(found)
+
+
+TEXT = st.lists(st.sampled_from(["a", "ab", "b", "Ä", "é1", "xy", "-"]), max_size=30).map(" ".join)
+
+
+@settings(deadline=None, max_examples=200)
+@given(TEXT, st.lists(TEXT, min_size=1, max_size=4), st.integers(1, 4))
+def test_search_equals_comparing_everywhere(text, items, size):
+    items = list(enumerate(items))
+    owners = {}
+    for item_id, item in items:
+        for window in wumanber.windows_of(wumanber.words_of(item), size):
+            owners.setdefault(window, set()).add(str(item_id))
+    joined = b" " + b" ".join(wumanber.words_of(text)) + b" "
+    found = list(wumanber.hits(joined, wumanber.searchers(owners)))
+    spans = wumanber.merged((s, e) for s, e, _ in found)
+    ids = sorted(set().union(*[owners[p] for *_, p in found])) if found else []
+    expected = plain_hits(text, items, size)
+    assert (len(wumanber.words_of(text)), sum(e - s for s, e in spans), ids) == expected
+
+
+def check(docs, items, size, **kw):
+    found = wumanber.find_passages(docs, items, size, **kw).withColumn("n", wumanber.n_hit())
+    got = [(r.doc_id, r.text, (r.n_words, r.n, list(r["items"]))) for r in found.collect()]
+    pairs = [tuple(r) for r in items.select("item_id", "text").collect()]
+    expected = [(r.doc_id, r.text, plain_hits(r.text, pairs, size)) for r in docs.collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    return found
+
+
+def test_odd_rows_and_items_in_parts(docs, rows):
+    long = "lorem ipsum " * 20_000 + "the quick brown fox jumps"
+    table = docs(
+        (1, None), (2, ""), (3, "The QUICK, brown-fox jumps!"), (3, "The QUICK, brown-fox jumps!"),
+        (None, "quick brown fox"), (4, long), (5, "ünï code ünï code x"), (6, "...!"),
+    )
+    items = rows(
+        [(10, "quick brown fox jumps"), (9, "quick brown fox jumps"), (None, "ünï code"), (7, None),
+         (8, ""), (11, "brown"), (10, "quick brown fox jumps")],
+        "item_id long, text string",
+    )
+    for parts in ({}, {"max_bytes": 20}):
+        found = check(table, items, 3, **parts)
+    assert found.columns[:6] == table.columns
+
+
+def test_empty_tables_and_clashing_names(docs, rows):
+    none = rows([], "item_id long, text string")
+    check(docs((1, "a b c")), none, 10)
+    assert wumanber.find_passages(docs(), none).count() == 0
+    clash = docs((1, "a b c d e")).withColumnRenamed("extra", "spans")
+    items = rows([("x", "b c", 1)], "item_id string, text string, spans int")
+    assert wumanber.find_passages(clash, items).first().spans[0].asDict() == {"start": 1, "end": 3}
