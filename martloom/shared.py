@@ -70,10 +70,11 @@ def drop_work_tables(spark: SparkSession) -> None:
     Call it when the results built from them are written: they are read until then.
     """
     root = work_root(spark)
+    inside = root.rpartition(":")[2].lstrip("/") + "/"
     for entry in spark.catalog.listTables():
         if entry.name.startswith(WORK_ENTRIES):
             place = spark.sql(f"DESCRIBE FORMATTED `{entry.name}`").where("col_name = 'Location'")
-            if any(root.partition(":")[2] in r.data_type or root in r.data_type for r in place.collect()):
+            if any(inside in r.data_type for r in place.collect()):
                 spark.sql(f"DROP TABLE `{entry.name}`")
     remove_folder(spark, root)
 
