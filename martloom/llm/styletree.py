@@ -108,6 +108,11 @@ def _described(tag: str, raw: str) -> tuple[str, bool]:
     return label, bool(tag in NOISE_TAGS or role in NOISE_ROLES or named or hidden)
 
 
+def _heads_the_page(tag: str, label: str, in_article: bool) -> bool:
+    """A header outside an article is the site's, inside it holds the article's title."""
+    return not in_article and (tag == "header" or label == f"{tag}.header")
+
+
 def parsed(html: str | None) -> Page:
     """A lenient reading: unclosed, misplaced and cut-off tags are taken as browsers would."""
     page = Page()
@@ -156,6 +161,7 @@ def parsed(html: str | None) -> Page:
             continue
         label, noise = _described(tag, found[3])
         parent = stack[-1]
+        noise = noise or _heads_the_page(tag, label, page.article[parent])
         node = len(page.tags)
         page.tags.append(tag)
         page.parents.append(parent)

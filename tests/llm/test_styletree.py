@@ -25,7 +25,8 @@ def text_of(html):
         ("<nav><ul><li><a href=x>m</a></ul></nav><article><h1>T</h1><p>x</p></article><footer>f</footer>", "T\nx"),
         ("<div class='intro'>out</div><main><p>in</p><div class='ad'>buy</div></main>", "in"),
         ("<article><p>x</p><section id='comments'><article class='comment'>c</article></section></article>", "x"),
-        ("<body class='nav-open'><header>h</header><div class='cookie-notice'>c</div><p>x</p></body>", "h\nx"),
+        ("<body class='nav-open'><header>h</header><div class='cookie-notice'>c</div><p>x</p></body>", "x"),
+        ("<div id='header'>h</div><div class='post-header'><h1>T</h1></div><p>x</p>", "T\nx"),
         ("<form>f<input></form><div role=navigation>m</div><p hidden>h</p><p style='display: none'>i</p><p>x</p>", "x"),
         ("<article><header><h1>T</h1></header><p>x<aside>s</aside>y</p></article>", "T\nx\ny"),
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
