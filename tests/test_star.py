@@ -152,6 +152,33 @@ def test_fact_refresh(built, rows):
     ]
 
 
+def test_lines_are_looked_up_once_per_refresh(spark, built):
+    tables, mart = built
+    ran = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    items = tables["order_items"]
+    counted = items.mapInArrow(seen, items.schema)
+    again = star.build_fact_order_item(
+        counted, tables["orders"], mart, existing=mart["fact_order_item"]
+    )
+    assert again.count() == items.count()
+    assert ran.value == items.count()
+
+
+def test_keys_of_dimensions_may_be_long(rows):
+    customers = rows(
+        [("c1", "u", "z", "c", "s")],
+        "customer_id string, customer_unique_id string, customer_zip_code_prefix string,"
+        " customer_city string, customer_state string",
+    )
+    assert dict(star.build_dim_customer(customers, key_type="long").dtypes)["customer_key"] == "bigint"
+
+
 def test_fact_lines_without_match(built, rows):
     tables, mart = built
     extra = rows(
