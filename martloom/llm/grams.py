@@ -6,7 +6,14 @@ import numpy as np
 
 _LETTERS = b"abcdefghijklmnopqrstuvwxyz"
 LETTERS_ONLY = bytes(c if c > 127 or c in _LETTERS else 32 for c in range(256))
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The finaliser of SplitMix64, a fixed public mixing function."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def gram_buckets(data: np.ndarray, n: int, bits: int) -> np.ndarray:
@@ -18,9 +25,9 @@ def gram_buckets(data: np.ndarray, n: int, bits: int) -> np.ndarray:
         packed <<= np.uint64(8)
         packed |= data[at : at + len(packed)]
     packed += np.uint64(n << 56)
-    packed *= _MULTIPLIER
+    packed *= MULTIPLIER
     packed ^= packed >> np.uint64(32)
-    packed *= _MULTIPLIER
+    packed *= MULTIPLIER
     return (packed >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -34,11 +41,11 @@ def word_buckets(data: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
         return starts, starts
-    inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
-    powers = np.cumprod(np.full(len(data), _MULTIPLIER, dtype=np.uint64))
+    inverse = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+    powers = np.cumprod(np.full(len(data), MULTIPLIER, dtype=np.uint64))
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers * (data + np.uint64(1)))])
     back = np.cumprod(np.full(len(data), inverse, dtype=np.uint64))[starts]
     hashed = (running[ends] - running[starts]) * back
     hashed ^= hashed >> np.uint64(32)
-    hashed *= _MULTIPLIER
+    hashed *= MULTIPLIER
     return starts, (hashed >> np.uint64(64 - bits)).astype(np.int64)

@@ -4,7 +4,7 @@ A text's k-mers (`k` code points; the whole text if it is shorter) are numbered
 that the second "abc" differs from the first. Each numbered k-mer gets a hash, whose upper bits
 choose one of `BINS` bins, so that one pass serves as many independent minima (Li et al., "One
 Permutation Hashing", 2012). In each bin the `kept` smallest are taken in the order in which they
-stand in the text, and that tuple is hashed (Marcais et al., "Locality-sensitive hashing for the
+stand in the text, and that tuple is hashed to 16 bits (Marcais et al., "Locality-sensitive hashing for the
 edit distance", 2019). Likeness counts the bins with equal tuples among those in which either text
 has any; taken to the root `kept` that estimates the Jaccard index of the k-mers, given as the
 share 2j / (1 + j) of either text that both have. Equal fingerprints have likeness 1, so also two
@@ -20,20 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.grams import MULTIPLIER, mixed
 from martloom.llm.tables import text_key
 from martloom.operators.keys import assign_keys
 
 K, KEPT, BINS = 8, 2, 64
 
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_EMPTY = np.uint32(0)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """The finaliser of SplitMix64, a fixed public mixing function."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_EMPTY = np.uint16(0)
 
 
 def code_points(text: str | None) -> np.ndarray:
@@ -46,13 +39,13 @@ def kmer_hashes(points: np.ndarray, k: int = K) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     out = np.zeros(len(points) - k + 1, dtype=np.uint64)
     for at in range(k):
-        out *= _MULTIPLIER
+        out *= MULTIPLIER
         out += points[at : at + len(out)]
-    return _mixed(out)
+    return mixed(out)
 
 
 def sketch(hashes: np.ndarray, kept: int = KEPT, bins: int = BINS) -> np.ndarray:
-    """One 32-bit hash for each bin, zero for an empty one, from k-mer hashes in text order."""
+    """A 16-bit hash for each bin, zero for an empty one, from k-mer hashes in text order."""
     out = np.full(bins, _EMPTY)
     if not len(hashes):
         return out
@@ -62,7 +55,7 @@ def sketch(hashes: np.ndarray, kept: int = KEPT, bins: int = BINS) -> np.ndarray
     fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     at = np.arange(len(ranked))
     occurrence = at - np.maximum.accumulate(np.where(fresh, at, 0))
-    numbered = _mixed(ranked + occurrence.astype(np.uint64) * _MULTIPLIER)
+    numbered = mixed(ranked + occurrence.astype(np.uint64) * MULTIPLIER)
     bin_bits = int(bins).bit_length() - 1
     by_value = np.argsort(numbered)
     numbered, place = numbered[by_value], order[by_value]
@@ -77,9 +70,9 @@ def sketch(hashes: np.ndarray, kept: int = KEPT, bins: int = BINS) -> np.ndarray
     start = np.concatenate([[0], np.cumsum(taken)[:-1]])
     for turn in range(kept):
         has = taken > turn
-        tuples[has] = _mixed(tuples[has] * _MULTIPLIER + numbered[in_text[start[has] + turn]])
+        tuples[has] = mixed(tuples[has] * MULTIPLIER + numbered[in_text[start[has] + turn]])
     full = counts > 0
-    out[full] = (tuples[full] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    out[full] = np.maximum(tuples[full] >> np.uint64(48), np.uint64(1)).astype(np.uint16)
     return out
 
 
@@ -91,14 +84,16 @@ def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
     return 2 * jaccard / (1 + jaccard)
 
 
-def _followers(keyed: DataFrame) -> DataFrame:
+def _followers(keyed: DataFrame, repeated: bool) -> DataFrame:
     """(k1, k2, p1, p2, wanted): the row after the row (p1, p2), and how much of it that asks for.
 
     Found on ids, keys and lengths alone; the texts stay where they are.
     """
     rows = keyed.select(
         "doc_id", "k1", "k2", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars")
-    ).distinct()
+    )
+    if repeated:
+        rows = rows.distinct()
     placed = assign_keys(rows, ["doc_id", "k1", "k2"], "place", key_type="bigint")
     total = F.lit(max(1, placed.count()))
     askers = placed.select(
@@ -123,10 +118,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     the row before it.
     """
     keyed = docs.select("doc_id", "text", *text_key("doc_id", "text"))
-    followers = _followers(keyed)
-    starts = keyed.join(followers, ["k1", "k2"]).select(
-        "p1", "p2", F.col("doc_id").alias("next_id"), "text", "wanted"
-    )
+    repeats = keyed.groupBy("k1", "k2").count().where("count > 1").limit(1).count() > 0
+    followers = _followers(keyed, repeats)
+    # with the id, though nobody reads it: both joins below then share one shuffle of the texts
+    starts = keyed.join(followers, ["k1", "k2"]).select("p1", "p2", "doc_id", "text", "wanted")
 
     def beginnings(batches):
         for batch in batches:
@@ -135,7 +130,6 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 {
                     "p1": batch["p1"],
                     "p2": batch["p2"],
-                    "next_id": batch["next_id"],
                     "start": [(t or "")[:n] for t, n in zip(texts, batch["wanted"])],
                     "next_print": [sketch(kmer_hashes(code_points(t))).tobytes() for t in texts],
                 }
@@ -143,9 +137,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     starts = starts.mapInPandas(
-        beginnings, f"p1 long, p2 long, next_id {kind}, start string, next_print binary"
+        beginnings, "p1 long, p2 long, start string, next_print binary"
     )
-    if docs.count() != keyed.select("k1", "k2").distinct().count():
+    if repeats:
         starts = starts.dropDuplicates(["p1", "p2"])
 
     def fingerprints(batches):
@@ -156,7 +150,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 edited = np.concatenate([points[: len(points) - len(points) // 4], tail])
                 own = sketch(kmer_hashes(points))
                 other = sketch(kmer_hashes(edited))
-                follower = np.frombuffer(after, dtype=np.uint32)
+                follower = np.frombuffer(after, dtype=np.uint16)
                 digest = hashlib.sha256(edited.tobytes().decode("utf-32-le").encode()).hexdigest()
                 out.append(
                     (len(points), digest, own.tobytes().hex(), other.tobytes().hex(),

@@ -19,15 +19,15 @@ def plain_sketch(text):
     seen, bins = {}, {}
     for place, h in enumerate(hashes):
         nth = seen[h] = seen.get(h, -1) + 1
-        value = int(omh._mixed(np.array([h], np.uint64) + np.uint64(nth) * omh._MULTIPLIER)[0])
+        value = int(omh.mixed(np.array([h], np.uint64) + np.uint64(nth) * omh.MULTIPLIER)[0])
         bins.setdefault(value >> 58, []).append((value, place))
     out = [0] * omh.BINS
     for number, members in bins.items():
         least = sorted(sorted(members)[: omh.KEPT], key=lambda m: m[1])
         tuple_ = np.zeros(1, np.uint64)
         for value, _ in least:
-            tuple_ = omh._mixed(tuple_ * omh._MULTIPLIER + np.uint64(value))
-        out[number] = int(tuple_[0]) >> 32 | 1
+            tuple_ = omh.mixed(tuple_ * omh.MULTIPLIER + np.uint64(value))
+        out[number] = max(1, int(tuple_[0]) >> 48)
     return out
 
 
