@@ -13,8 +13,10 @@ from martloom.shared import written
 
 
 def _centres(pairs: DataFrame) -> DataFrame:
-    """(u, m): the smallest of u and its neighbours. Reduced in every task before the shuffle."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """(u, m): the smallest of u and its neighbours. Reduced in every task before the shuffle, and
+    written: joined back, it is then broadcast if it is small, and a hub's pairs are split if not."""
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    return written(least.select("u", F.least("u", "m").alias("m")), "centres")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
