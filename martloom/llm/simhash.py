@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.components import components
+from martloom.llm.grams import MULTIPLIER, mixed
 from martloom.llm.tables import text_key
 from martloom.llm.vptree import near_edges
 from martloom.shared import written
@@ -22,38 +23,47 @@ from martloom.shared import written
 SEED = 42
 
 
-def simhash(text: str | None, words: int, seeds: tuple[int, ...] = (SEED,)) -> bytes:
-    """8 bytes, high byte first, for each seed."""
+def simhash(text: str | None, words: int, lanes: int = 1, repeats: bool = True) -> bytes:
+    """8 bytes, high byte first, for each lane. The first lane has the bits of the XXH64 values,
+    further ones those of other mixings of the same values. Without `repeats` a shingle counts
+    once, as in the Jaccard index."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not tokens:
-        return bytes(8 * len(seeds))
+        return bytes(8 * lanes)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     last = min(words, len(tokens)) - 1
-    spans = list(zip(starts[: len(tokens) - last].tolist(), ends[last:].tolist()))
     digest = xxhash.xxh64_intdigest
-    out = b""
-    for seed in seeds:
-        hashes = np.array([digest(joined[s:e], seed) for s, e in spans], dtype=">u8")
-        # summed in slices: a long text needs no matrix of all its bits at once
-        ones = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(hashes), 1 << 14):
-            part = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-        out += np.packbits(2 * ones > len(hashes)).tobytes()
-    return out
+    hashes = np.array(
+        [
+            digest(joined[s:e], SEED)
+            for s, e in zip(starts[: len(tokens) - last].tolist(), ends[last:].tolist())
+        ],
+        dtype=np.uint64,
+    )
+    if not repeats:
+        hashes = np.unique(hashes)
+    ones = np.zeros((lanes, 64), dtype=np.int64)
+    # summed in slices: a long text needs no matrix of all its bits at once
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)]
+        for lane in range(lanes):
+            bits = part if lane == 0 else mixed(part + np.uint64(lane << 32))
+            raw = bits.astype(">u8").view(np.uint8).reshape(-1, 8)
+            ones[lane] += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1).tobytes()
 
 
 def with_fingerprints(
-    docs: DataFrame, keep: list[str], words: int, seeds: tuple[int, ...] = (SEED,)
+    docs: DataFrame, keep: list[str], words: int, lanes: int = 1, repeats: bool = True
 ) -> DataFrame:
     """The columns `keep` of `docs(text, ...)` and the fingerprint `fp`, one row per row."""
 
     def fingerprints(batches):
         for batch in batches:
             out = batch[keep].copy()
-            out["fp"] = [simhash(t, words, seeds) for t in batch["text"]]
+            out["fp"] = [simhash(t, words, lanes, repeats) for t in batch["text"]]
             yield out
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -61,14 +71,23 @@ def with_fingerprints(
 
 
 def _rooted(
-    rows: DataFrame, least: Column, bits: int, radius: int, blocks: int, block_radius: int | None
+    rows: DataFrame,
+    least: Column,
+    bits: int,
+    radius: int,
+    blocks: int,
+    block_radius: int | None,
+    link_zero: bool = True,
 ) -> DataFrame:
     """(fp, least, root): each distinct fingerprint with the least of its rows and its group.
 
     Rows of equal fingerprints are one node of the graph, whatever their number.
     """
     nodes = written(rows.groupBy("fp").agg(F.min(least).alias("least")), "nodes")
-    edges = near_edges(nodes.select("fp"), bits, radius, blocks, block_radius)
+    prints = nodes.select("fp")
+    if not link_zero:
+        prints = prints.where(F.col("fp") != F.lit(bytes(bits // 8)))
+    edges = near_edges(prints, bits, radius, blocks, block_radius)
     linked = components(edges).withColumnRenamed("node", "fp")
     return nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
@@ -78,7 +97,7 @@ def near_groups(
     words: int,
     radius: int,
     blocks: int,
-    seeds: tuple[int, ...] = (SEED,),
+    lanes: int = 1,
     block_radius: int | None = None,
 ) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of `docs(doc_id, text)`.
@@ -86,8 +105,8 @@ def near_groups(
     Fingerprints within `radius` bits are linked; component_id is the smallest doc_id of the
     linked group, NULL only if all its ids are. An empty table gives no rows.
     """
-    rows = written(with_fingerprints(docs, ["doc_id"], words, seeds), "fingerprints")
-    bits = 64 * len(seeds)
+    rows = written(with_fingerprints(docs, ["doc_id"], words, lanes), "fingerprints")
+    bits = 64 * lanes
     rooted = _rooted(rows, F.col("doc_id"), bits, radius, blocks, block_radius)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
@@ -99,21 +118,24 @@ def deduplicated(
     words: int,
     radius: int,
     blocks: int,
-    seeds: tuple[int, ...] = (SEED,),
+    lanes: int = 1,
     block_radius: int | None = None,
 ) -> DataFrame:
     """The row with the smallest doc_id (NULL last, then by a hash of the text) of each group of
-    near `docs(doc_id, text, ...)`; one of rows that are equal in id and text.
+    near `docs(doc_id, text, ...)`; one of rows that are equal in id and text. Repeated shingles of
+    a text count once, so that few differing bits mean a high Jaccard index.
 
-    All texts without words are one group. An empty table gives no rows. Texts are shuffled once.
+    All texts without words are one group, and near no other: texts of two shingles have few bits
+    set and would come near to none. An empty table gives no rows. Texts are shuffled once.
     """
     key = text_key("doc_id", "text")
+    keyed = docs.select("doc_id", *key, "text")
     rows = written(
-        with_fingerprints(docs.select("doc_id", *key, "text"), ["doc_id", "k1", "k2"], words, seeds),
+        with_fingerprints(keyed, ["doc_id", "k1", "k2"], words, lanes, repeats=False),
         "fingerprints",
     )
     least = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
-    rooted = _rooted(rows, least, 64 * len(seeds), radius, blocks, block_radius)
+    rooted = _rooted(rows, least, 64 * lanes, radius, blocks, block_radius, link_zero=False)
     first = rooted.groupBy("root").agg(F.min("least").alias("least"))
     winners = first.select(F.col("least.k1").alias("w1"), F.col("least.k2").alias("w2"))
     keyed = docs.withColumns(dict(zip(("_k1", "_k2"), key)))

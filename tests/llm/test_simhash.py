@@ -136,6 +136,12 @@ def test_one_document_of_each_group_stays(docs):
     assert sorted(r.doc_id for r in got.collect()) == [1, 2, 8]
 
 
+def test_short_texts_are_not_near_empty_ones(docs):
+    short = [(i, " ".join(f"w{i}x{j}" for j in range(6))) for i in range(2000)]
+    kept = simhash.deduplicated(docs((9999, ""), *short), 5, 38, 12, 3, 1)
+    assert kept.count() == 2001
+
+
 def test_query_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()
     prints = [plain_simhash(r.text, 4) for r in table]
