@@ -56,7 +56,8 @@ def fit(measured: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> np.
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("quality") == c).orderBy(*order).limit(most) for c in (0, 1)]
     rows = measured.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
-    data = np.array(rows.select(*FEATURES, "quality").orderBy(*FEATURES).collect(), dtype=float)
+    # in one order on every run, so that sums agree
+    data = np.array(sorted(rows.select(*FEATURES, "quality").collect()), dtype=float)
     if not len(data) or data[:, -1].min() == data[:, -1].max():
         return None
     x, y = np.column_stack([data[:, :-1], np.ones(len(data))]), data[:, -1]
