@@ -41,7 +41,7 @@ def gram_counts(text: str | None) -> np.ndarray:
 
 
 def has_letters(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
 def learn(labelled: DataFrame) -> tuple[list[str], np.ndarray]:

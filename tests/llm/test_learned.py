@@ -45,6 +45,11 @@ def test_language_of_odd_rows(spark, docs):
     assert langmix.languages(docs(), known).count() == 0
 
 
+def test_letters():
+    assert langmix.has_letters("1 é") and langmix.has_letters("字")
+    assert not any(langmix.has_letters(t) for t in (None, "", "12 _ ½ ² ٣ !?"))
+
+
 def test_shares_maximise_the_likelihood():
     random = np.random.default_rng(2)
     chance = random.dirichlet(np.ones(50), 3).T
