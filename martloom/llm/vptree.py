@@ -97,30 +97,43 @@ def near_stars(words: np.ndarray, lives: np.ndarray, radius: int) -> np.ndarray:
     Every row that lives here serves as a vantage point or lies within `radius` of one. Rows within
     `radius` of it and rows up to twice as far are compared, then the former are finished.
     """
+    kind = np.uint8 if words.shape[1] < 4 else np.uint16
+    columns = [np.ascontiguousarray(c) for c in words.T]
+
+    def distances(columns: list[np.ndarray], point: int) -> np.ndarray:
+        out = np.bitwise_count(columns[0] ^ words[point, 0]).astype(kind)
+        for column, value in zip(columns[1:], words[point, 1:]):
+            out += np.bitwise_count(column ^ value)
+        return out
+
     label = np.arange(len(words))
-    active = np.arange(len(words))
-    open_rows = lives.copy()
+    finished = np.zeros(len(words), dtype=bool)
+    active, left = label.copy(), len(words)
     for point in np.flatnonzero(lives):
-        if not open_rows[point]:
+        if finished[point]:
             continue
-        distance = np.bitwise_count(words[active] ^ words[point]).sum(axis=1, dtype=np.int32)
+        distance = distances(columns, point)
         near = active[distance <= radius]
-        open_rows[near] = False
-        linked = near
+        near = near[~finished[near]]
         if len(near) > 1:
-            fringe = active[(distance > radius) & (distance <= 2 * radius)]
+            fringe = np.flatnonzero((distance > radius) & (distance <= 2 * radius))
+            fringe = active[fringe]
+            fringe = fringe[~finished[fringe]]
             hit = np.zeros(len(fringe), dtype=bool)
             for at in near:
                 rest = np.flatnonzero(~hit)
                 if not len(rest):
                     break
-                apart = np.bitwise_count(words[fringe[rest]] ^ words[at]).sum(axis=1, dtype=np.int32)
-                hit[rest[apart <= radius]] = True
+                hit[rest[distances(list(words[fringe[rest]].T), at) <= radius]] = True
             linked = np.concatenate([near, fringe[hit]])
             old = np.unique(label[linked])
             if len(old) > 1:
                 label[np.isin(label, old)] = old[0]
-        active = active[distance > radius]
+        finished[near] = True
+        left -= len(near)
+        if left < 0.9 * len(active):  # finished rows are passed over, and now and then put away
+            active = active[~finished[active]]
+            columns = [np.ascontiguousarray(c) for c in words[active].T]
     return label
 
 
