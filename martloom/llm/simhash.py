@@ -23,25 +23,32 @@ from martloom.shared import written
 SEED = 42
 
 
-def simhash(text: str | None, words: int, lanes: int = 1, repeats: bool = True) -> bytes:
-    """8 bytes, high byte first, for each lane. The first lane has the bits of the XXH64 values,
-    further ones those of other mixings of the same values. Without `repeats` a shingle counts
-    once, as in the Jaccard index."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 values of the text's shingles in their order, none for a text without words."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not tokens:
-        return bytes(8 * lanes)
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     last = min(words, len(tokens)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [
             digest(joined[s:e], SEED)
             for s, e in zip(starts[: len(tokens) - last].tolist(), ends[last:].tolist())
         ],
         dtype=np.uint64,
     )
+
+
+def simhash(text: str | None, words: int, lanes: int = 1, repeats: bool = True) -> bytes:
+    """8 bytes, high byte first, for each lane. The first lane has the bits of the XXH64 values,
+    further ones those of other mixings of the same values. Without `repeats` a shingle counts
+    once, as in the Jaccard index."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return bytes(8 * lanes)
     if not repeats:
         hashes = np.unique(hashes)
     ones = np.zeros((lanes, 64), dtype=np.int64)
