@@ -74,6 +74,8 @@ _ATTRIBUTE = re.compile(
 )
 _UNREAD_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in UNREAD}
 _NAMES = re.compile(r"[a-z]+")
+#: 'has-sidebar' and 'no-comments' tell about the page, not about the element.
+QUALIFIERS = frozenset("has no with without".split())
 
 
 @dataclass
@@ -89,23 +91,36 @@ class Page:
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
 
 
-def _described(tag: str, raw: str) -> tuple[str, bool]:
-    """The element's label in the style tree, and whether it names itself as noise."""
+def _telling(classes: str) -> set[str]:
+    """The words of class names and ids, up to a qualifier in each."""
+    out: set[str] = set()
+    for name in classes.split():
+        for word in _NAMES.findall(name):
+            if word in QUALIFIERS:
+                break
+            out.add(word)
+    return out
+
+
+def _described(tag: str, raw: str) -> tuple[str, bool, bool]:
+    """The element's label in the style tree, whether its tag, role or style says that it is noise,
+    and whether its class or id does."""
     if not raw or raw.isspace():
-        return tag, tag in NOISE_TAGS
+        return tag, tag in NOISE_TAGS, False
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
-    names = _NAMES.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
+    classes = f"{given.get('class', '')} {given.get('id', '')}".lower()
+    names, telling = _NAMES.findall(classes), _telling(classes)
     role = given.get("role", "").lower()
     hidden = (
         "hidden" in given
         or given.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", "").lower())
     )
-    named = not NOISE_NAMES.isdisjoint(names)
+    named = not NOISE_NAMES.isdisjoint(telling)
     if tag in ARTICLES or tag == "body" or tag == "html" or role == "main":
-        named = not {"comment", "comments"}.isdisjoint(names)
+        named = not {"comment", "comments"}.isdisjoint(telling)
     label = ".".join([tag, *names, *([role] if role else [])])
-    return label, bool(tag in NOISE_TAGS or role in NOISE_ROLES or named or hidden)
+    return label, bool(tag in NOISE_TAGS or role in NOISE_ROLES or hidden), named
 
 
 def _heads_the_page(tag: str, label: str, in_article: bool) -> bool:
@@ -113,11 +128,27 @@ def _heads_the_page(tag: str, label: str, in_article: bool) -> bool:
     return not in_article and (tag == "header" or label == f"{tag}.header")
 
 
+def _spread_noise(page: Page, named: list[bool]) -> None:
+    """Noise passes to what is inside it. A class or id alone makes no noise of an element that
+    holds an article, or more than half of the page's text."""
+    size, holds = [0] * len(page.tags), [False] * len(page.tags)
+    for node, text in page.pieces:
+        if text:
+            size[node] += sum(map(len, text.split()))
+    for node in range(len(page.tags) - 1, 0, -1):
+        parent = page.parents[node]
+        size[parent] += size[node]
+        holds[parent] |= holds[node] or (page.article[node] and not page.article[parent])
+    for node in range(1, len(page.tags)):
+        by_name = named[node] and not (holds[node] or 2 * size[node] > size[0])
+        page.noise[node] = page.noise[node] or by_name or page.noise[page.parents[node]]
+
+
 def parsed(html: str | None) -> Page:
     """A lenient reading: unclosed, misplaced and cut-off tags are taken as browsers would."""
     page = Page()
     text = html or ""
-    stack, at = [0], 0
+    stack, at, by_name = [0], 0, [False]
 
     def close_to(depth: int) -> None:
         for node in reversed(stack[depth:]):
@@ -159,16 +190,18 @@ def parsed(html: str | None) -> Page:
             end = _UNREAD_END[tag].search(text, at)
             at = end.end() if end else len(text)
             continue
-        label, noise = _described(tag, found[3])
+        label, noise, named = _described(tag, found[3])
         parent = stack[-1]
         noise = noise or _heads_the_page(tag, label, page.article[parent])
         node = len(page.tags)
         page.tags.append(tag)
         page.parents.append(parent)
         page.labels.append(label)
-        page.noise.append(noise or page.noise[parent])
+        page.noise.append(noise)
+        by_name.append(named)
         page.article.append(
-            page.article[parent] or (tag in ARTICLES or label.endswith(".main")) and not noise
+            page.article[parent]
+            or (tag in ARTICLES or label.endswith(".main")) and not (noise or named)
         )
         if tag not in INLINE:
             page.pieces.append((parent, None))
@@ -177,6 +210,7 @@ def parsed(html: str | None) -> Page:
         elif tag not in INLINE:
             page.pieces.append((parent, None))
     close_to(1)
+    _spread_noise(page, by_name)
     return page
 
 

@@ -88,3 +88,17 @@ def test_whole_pages_of_the_test_data(spark):
         blocks = re.split(r"</?(?:p|h1)>", inside)
         plain = [" ".join(st.entities.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in blocks]
         assert r.text == "\n".join(b for b in plain if b) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<div class='content has-sidebar'><p>x</p></div>", "x"),
+        ("<div id='page-no-comments'><article><p>x</p></article></div>", "x"),
+        ("<div class='sidebar-layout'><article>x</article><div class='sidebar'>s</div></div><p>longer</p>", "x"),
+        ("<div class='widget-page'><p>most of the text</p></div><div class='widget'>w</div>", "most of the text"),
+        ("<div class='comments'><article class='comment'>c</article></div><p>text</p>", "text"),
+    ],
+)
+def test_a_name_alone_does_not_empty_a_page(html, expected):
+    assert text_of(html) == expected
