@@ -5,7 +5,8 @@ A query takes (spark, folder of the tables). Where SQL can say the same, its tex
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
@@ -13,6 +14,7 @@ from martloom.llm import (
     lines,
     mixing,
     orderminhash,
+    pieces,
     quality,
     sharding,
     simhash,
@@ -189,6 +191,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.PieceModel.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decoded(pieces.encoded(docs, model), model, keep=["ends"])
+
+    def digest(numbers: str) -> Column:
+        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), " "), 256)
+
+    return both.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest("ids").alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"), digest("ends").alias("ends_sha256"),
+    )
+
+
 CHECKS = {
     "op1_language": (op1_language, None),
     "op2_quality": (op2_quality, None),
@@ -200,4 +216,5 @@ CHECKS = {
     "op8_lines": (op8_lines, OP8_SQL),
     "op9_near_groups": (op9_near_groups, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_pieces": (op11_pieces, None),
 }
