@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, nearsets, sharding, toxicity, wumanber
+from martloom.llm import mixing, sharding, simhash, toxicity, wumanber
 from martloom.llm.tables import read, remainder
 from martloom.shared import written
 
 SHARDS = 16
 
-# Near means sets of five-word shingles whose Jaccard index is 4/5 or more.
-NEAR = {"words": 5, "num": 4, "den": 5}
+# Near means SimHash fingerprints of four-word shingles that differ in four bits at most.
+NEAR = {"words": 4, "radius": 4, "blocks": 3}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    return nearsets.deduplicated(docs, **NEAR)
+    return simhash.deduplicated(docs, **NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
