@@ -9,14 +9,12 @@ words, has the fingerprint zero, which is linked like any other.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.components import components
-from martloom.llm.grams import MULTIPLIER, mixed
-from martloom.llm.tables import text_key
+from martloom.llm.tables import text_key, unused
 from martloom.llm.vptree import near_edges
 from martloom.shared import written
 
@@ -42,111 +40,66 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     )
 
 
-def simhash(text: str | None, words: int, lanes: int = 1, repeats: bool = True) -> bytes:
-    """8 bytes, high byte first, for each lane. The first lane has the bits of the XXH64 values,
-    further ones those of other mixings of the same values. Without `repeats` a shingle counts
-    once, as in the Jaccard index."""
+def simhash(text: str | None, words: int) -> bytes:
+    """8 bytes, high byte first."""
     hashes = shingle_hashes(text, words)
-    if not len(hashes):
-        return bytes(8 * lanes)
-    if not repeats:
-        hashes = np.unique(hashes)
-    ones = np.zeros((lanes, 64), dtype=np.int64)
+    ones = np.zeros(64, dtype=np.int64)
     # summed in slices: a long text needs no matrix of all its bits at once
     for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at : at + (1 << 14)]
-        for lane in range(lanes):
-            bits = part if lane == 0 else mixed(part + np.uint64(lane << 32))
-            raw = bits.astype(">u8").view(np.uint8).reshape(-1, 8)
-            ones[lane] += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), axis=1).tobytes()
+        raw = hashes[at : at + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def with_fingerprints(
-    docs: DataFrame, keep: list[str], words: int, lanes: int = 1, repeats: bool = True
-) -> DataFrame:
+def with_fingerprints(docs: DataFrame, keep: list[str], words: int) -> DataFrame:
     """The columns `keep` of `docs(text, ...)` and the fingerprint `fp`, one row per row."""
 
     def fingerprints(batches):
         for batch in batches:
             out = batch[keep].copy()
-            out["fp"] = [simhash(t, words, lanes, repeats) for t in batch["text"]]
+            out["fp"] = [simhash(t, words) for t in batch["text"]]
             yield out
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*keep, "text").mapInPandas(fingerprints, f"{schema}, fp binary")
 
 
-def _rooted(
-    rows: DataFrame,
-    least: Column,
-    bits: int,
-    radius: int,
-    blocks: int,
-    block_radius: int | None,
-    link_zero: bool = True,
-) -> DataFrame:
+def _rooted(rows: DataFrame, least: Column, radius: int, blocks: int) -> DataFrame:
     """(fp, least, root): each distinct fingerprint with the least of its rows and its group.
 
     Rows of equal fingerprints are one node of the graph, whatever their number.
     """
     nodes = written(rows.groupBy("fp").agg(F.min(least).alias("least")), "nodes")
-    prints = nodes.select("fp")
-    if not link_zero:
-        prints = prints.where(F.col("fp") != F.lit(bytes(bits // 8)))
-    edges = near_edges(prints, bits, radius, blocks, block_radius)
+    edges = near_edges(nodes.select("fp"), 64, radius, blocks)
     linked = components(edges).withColumnRenamed("node", "fp")
     return nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-def near_groups(
-    docs: DataFrame,
-    words: int,
-    radius: int,
-    blocks: int,
-    lanes: int = 1,
-    block_radius: int | None = None,
-) -> DataFrame:
+def near_groups(docs: DataFrame, words: int, radius: int, blocks: int) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of `docs(doc_id, text)`.
 
     Fingerprints within `radius` bits are linked; component_id is the smallest doc_id of the
     linked group, NULL only if all its ids are. An empty table gives no rows.
     """
-    rows = written(with_fingerprints(docs, ["doc_id"], words, lanes), "fingerprints")
-    bits = 64 * lanes
-    rooted = _rooted(rows, F.col("doc_id"), bits, radius, blocks, block_radius)
+    rows = written(with_fingerprints(docs, ["doc_id"], words), "fingerprints")
+    rooted = _rooted(rows, F.col("doc_id"), radius, blocks)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(
-    docs: DataFrame,
-    words: int,
-    radius: int,
-    blocks: int,
-    lanes: int = 1,
-    block_radius: int | None = None,
-) -> DataFrame:
-    """The row with the smallest doc_id (NULL last, then by a hash of the text) of each group of
-    near `docs(doc_id, text, ...)`; one of rows that are equal in id and text. Repeated shingles of
-    a text count once, so that few differing bits mean a high Jaccard index.
-
-    All texts without words are one group, and near no other: texts of two shingles have few bits
-    set and would come near to none. An empty table gives no rows. Texts are shuffled once.
+def deduplicated(docs: DataFrame, words: int, radius: int, blocks: int) -> DataFrame:
+    """The rows of `docs(doc_id, text, ...)` that stand for the groups of `near_groups`: of each group
+    the row with the smallest doc_id (NULL last, then by a hash of the text), once if it repeats.
+
+    All columns stay, whatever their names. An empty table gives no rows. Texts are shuffled once.
     """
-    key = text_key("doc_id", "text")
-    keyed = docs.select("doc_id", *key, "text")
-    rows = written(
-        with_fingerprints(keyed, ["doc_id", "k1", "k2"], words, lanes, repeats=False),
-        "fingerprints",
-    )
+    k1, k2 = unused(docs, "k1", "k2")
+    keys = [key.alias(name) for key, name in zip(text_key("doc_id", "text"), (k1, k2))]
+    keyed = docs.select("doc_id", *text_key("doc_id", "text"), "text")
+    rows = written(with_fingerprints(keyed, ["doc_id", "k1", "k2"], words), "fingerprints")
     least = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
-    rooted = _rooted(rows, least, 64 * lanes, radius, blocks, block_radius, link_zero=False)
-    first = rooted.groupBy("root").agg(F.min("least").alias("least"))
-    winners = first.select(F.col("least.k1").alias("w1"), F.col("least.k2").alias("w2"))
-    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), key)))
-    chosen = keyed.join(
-        winners, (F.col("_k1") == F.col("w1")) & (F.col("_k2") == F.col("w2")), "left_semi"
-    )
-    return chosen.dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    first = _rooted(rows, least, radius, blocks).groupBy("root").agg(F.min("least").alias("least"))
+    winners = first.select(F.col("least.k1").alias(k1), F.col("least.k2").alias(k2))
+    chosen = docs.select("*", *keys).join(winners, [k1, k2], "left_semi")
+    return chosen.dropDuplicates([k1, k2]).select(*[F.col(f"`{c}`") for c in docs.columns])

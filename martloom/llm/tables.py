@@ -30,3 +30,10 @@ def text_key(doc_id: str, text: str) -> list[Column]:
     """128 bits that stand for an id and its text, never NULL; equal only for equal rows."""
     parts = [F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)]
     return [F.xxhash64(F.lit(n), *parts).alias(f"k{n}") for n in (1, 2)]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores before it that no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    longest = max((len(c) - len(c.lstrip("_")) for c in taken), default=0)
+    return [n if n.lower() not in taken else "_" * (longest + 1) + n for n in names]

@@ -3,12 +3,14 @@
 The bits of a fingerprint are cut into blocks of equal width, and one vantage-point tree is built
 over each block. Two fingerprints that differ in at most `radius` bits differ in at most
 `radius // blocks` bits of some block, so a search of every tree with that smaller radius meets
-every pair (choose a smaller `block_radius` only where some loss is acceptable).
+every pair.
 
 A tree node holds a vantage point and a distance: nearer fingerprints go to one side, the rest to
 the other. The leaves are shards. A fingerprint lives in one leaf per tree and visits every leaf
 that the triangle inequality does not rule out. Leaves are linked in parallel, with exact distances
 over all bits. The tree is built from a sample of bounded size; every fingerprint is put into it.
+Its depth follows the number of fingerprints, up to the bits of a block: with three blocks of 64
+bits leaves keep their size up to 2,000 * 2**21 fingerprints, and grow with the data from there.
 
 Within a leaf, vantage points prune again: what lies further than twice the radius from a vantage
 point can't be near anything within the radius of it. A leaf yields one edge per linked
@@ -27,9 +29,8 @@ from pyspark.sql import functions as F
 
 LEAF_TARGET = 2_000
 LEAF_ROWS = 60_000
-MAX_DEPTH = 16
 SAMPLE_PER_LEAF = 16
-MAX_SAMPLE = 1 << 18
+MAX_SAMPLE = 1 << 20
 
 
 def as_words(fingerprints, width: int) -> np.ndarray:
@@ -162,12 +163,16 @@ def _assigned(prints: DataFrame, trees: list, width: int, block_radius: int) ->
     )
 
 
+def tree_depth(total: int, bits: int, leaf_target: int = LEAF_TARGET) -> int:
+    """Levels that leave about `leaf_target` of `total` fingerprints in a leaf, at most one a bit."""
+    return max(0, min(bits, math.ceil(math.log2(max(1, total) / leaf_target))))
+
+
 def near_edges(
     prints: DataFrame,
     width: int,
     radius: int,
     blocks: int,
-    block_radius: int | None = None,
     leaf_target: int = LEAF_TARGET,
     leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
@@ -177,20 +182,17 @@ def near_edges(
     `prints` must hold distinct, non-null values and be cheap to read again. An empty table gives
     no edges.
     """
-    if block_radius is None:
-        block_radius = radius // blocks
     total = prints.count()
-    depth = max(0, min(MAX_DEPTH, math.ceil(math.log2(max(1, total) / leaf_target))))
+    depth = tree_depth(total, width // blocks, leaf_target)
     wanted = min(MAX_SAMPLE, SAMPLE_PER_LEAF << depth)
     # about `wanted` values, chosen by hash: the same ones on every run
     step = max(1, total // wanted)
-    sample = [
-        bytes(r.fp) for r in prints.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).collect()
-    ]
+    chosen = prints.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0)
+    sample = chosen.toArrow()["fp"].to_pylist()
     words = as_words(sorted(sample), width) if sample else np.zeros((1, width // 64), np.uint64)
     trees = [grow_tree(block_values(words, blocks, b), depth, b) for b in range(blocks)]
 
-    rows = _assigned(prints, trees, width, block_radius)
+    rows = _assigned(prints, trees, width, radius // blocks)
     large = (
         rows.groupBy("tree", "leaf").count().where(F.col("count") > leaf_rows)
         .select("tree", "leaf", F.ceil(F.col("count") / (leaf_rows // 2)).cast("int").alias("chunks"))
