@@ -32,7 +32,7 @@ MAX_MODEL_BYTES = 64 << 20
 # a Python worker, about so many of them.
 FEW = 48
 TOGETHER = 1 << 14
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 # Characters of one result batch, if it has more than one text.
 CHARACTERS = 1 << 20
 
@@ -111,12 +111,12 @@ class Merges:
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return np.where(self.pairs[at] == wanted, at, -1) if len(self.pairs) else at - 1
 
-    def merge_all(self, stretches: list[str]) -> list[np.ndarray]:
+    def merge_all(self, stretches: list[str]) -> list[list[int]]:
         """The symbols of each stretch. In each round every stretch merges its best pair, the
         leftmost of equals; those without one are done."""
         symbols = self.single[np.frombuffer("".join(stretches).encode("utf-32-le"), dtype=np.uint32)]
         sizes = np.array([len(s) for s in stretches])
-        out: list[np.ndarray] = [None] * len(stretches)
+        done = []
         names = np.arange(len(stretches))
         ends = np.cumsum(sizes)
         place = np.full(len(symbols), -1)  # of the pair of a symbol and the next
@@ -129,9 +129,8 @@ class Merges:
             best = np.minimum.reduceat(order, starts)
             live = best < never
             if not live.all():
-                for n in np.flatnonzero(~live):
-                    out[names[n]] = symbols[starts[n] : ends[n]]
                 stay = np.repeat(live, sizes)
+                done.append((names[~live], sizes[~live], symbols[~stay]))
                 back = np.cumsum(stay) - 1
                 best = best[live]
                 at = back[best & 0xFFFFFFFF]
@@ -151,9 +150,14 @@ class Merges:
                 place[left[left >= ends - sizes]] = -1
                 left = left[inside]
                 place[left] = self._places(symbols[left], symbols[left + 1])
+        names, sizes, symbols = (np.concatenate(part) for part in zip(*done))
+        edges, symbols = np.concatenate([[0], np.cumsum(sizes)]).tolist(), symbols.tolist()
+        out: list[list[int]] = [[]] * len(stretches)
+        for name, start, stop in zip(names.tolist(), edges, edges[1:]):
+            out[name] = symbols[start:stop]
         return out
 
-    def merge_long(self, stretch: str) -> np.ndarray:
+    def merge_long(self, stretch: str) -> list[int]:
         """The same for one long stretch, with a queue of pairs."""
         symbols: list[str] = list(stretch)
         before, after = list(range(-1, len(symbols) - 1)), list(range(1, len(symbols) + 1))
@@ -182,7 +186,7 @@ class Merges:
                 offer(left, following)
             if before[left] >= 0:
                 offer(before[left], left)
-        return np.array([self._symbol(s) for s in symbols if s])
+        return [self._symbol(s) for s in symbols if s]
 
 
 @dataclass
@@ -348,8 +352,7 @@ class PieceModel:
             return self.newer
         return {**self.newer, **{s: self._ids(self.merges.merge_long(s)) for s in long}}
 
-    def _ids(self, symbols: np.ndarray) -> list[int]:
-        symbols = symbols.tolist()
+    def _ids(self, symbols: list[int]) -> list[int]:
         if max(symbols) < len(self.pieces):
             return symbols
         out = []
@@ -466,12 +469,19 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def encoded(docs: DataFrame, model: PieceModel, end: bool = True) -> DataFrame:
+def encoded(
+    docs: DataFrame, model: PieceModel, end: bool = True, decode: bool = False
+) -> DataFrame:
     """(doc_id, ids, begins, ends), one row per row of `docs(doc_id, text)`: the ids of the whole text,
     with the model's end id last if `end`, and the source bytes [begin, end) of each (the end id: none
-    at the end). NULL is the empty text, which has no pieces. Other columns are ignored; an empty
-    table gives no rows."""
+    at the end). With `decode` also `decoded`, the text of these ids. NULL is the empty text, which has
+    no pieces. Other columns are ignored; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, begins array<int>, ends array<int>"
+    if decode:
+        schema += ", decoded string"
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -486,14 +496,11 @@ def encoded(docs: DataFrame, model: PieceModel, end: bool = True) -> DataFrame:
                         for (i, b, e), n in zip(found, sizes)
                     ]
                 lists = [_lists([f[n] for f in found]) for n in range(3)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[start:stop], *lists], ["doc_id", "ids", "begins", "ends"]
-                )
+                if decode:
+                    lists.append(pa.array([model.decode(i.tolist()) for i, _, _ in found], pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[start:stop], *lists], names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        encode, f"doc_id {kind}, ids array<int>, begins array<int>, ends array<int>"
-    )
+    return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
 def decoded(tokens: DataFrame, model: PieceModel, keep: Sequence[str] = ()) -> DataFrame:
@@ -505,9 +512,7 @@ def decoded(tokens: DataFrame, model: PieceModel, keep: Sequence[str] = ()) -> D
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            column = batch.column(1)
-            flat, places = column.values.tolist(), column.offsets.tolist()
-            texts = [model.decode(flat[a:b]) for a, b in pairwise(places)]
+            texts = [model.decode(ids.as_py() or []) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*columns, "text"]
             )

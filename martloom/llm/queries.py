@@ -6,7 +6,7 @@ A query takes (spark, folder of the tables). Where SQL can say the same, its tex
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
@@ -194,14 +194,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel.load(public_tokenizers.path("piece_bpe_32k.model"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = pieces.decoded(pieces.encoded(docs, model), model, keep=["ends"])
-
-    def digest(numbers: str) -> Column:
-        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), " "), 256)
-
-    return both.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest("ids").alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"), digest("ends").alias("ends_sha256"),
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return pieces.encoded(docs, model, decode=True).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("begins", "ends").alias("spans_xxh64"),
     )
 
 
