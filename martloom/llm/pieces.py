@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from martloom.llm.tables import text_ranges
+
 SPACE = "▁"
 MAX_MODEL_BYTES = 64 << 20
 # Stretches of at most so many characters are merged together, so many at a time, and remembered by
@@ -33,8 +35,6 @@ MAX_MODEL_BYTES = 64 << 20
 FEW = 48
 TOGETHER = 1 << 14
 REMEMBERED = 1 << 17
-# Characters of one result batch, if it has more than one text.
-CHARACTERS = 1 << 20
 
 
 class CharacterMap:
@@ -451,18 +451,6 @@ def _with_replacements(parts: list[bytes], kinds: list[int]) -> str:
     return "".join(out)
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that have about `CHARACTERS` together."""
-    start, size = 0, 0
-    for at, text in enumerate(texts):
-        if size and size + len(text) > CHARACTERS:
-            yield start, at
-            start, size = at, 0
-        size += len(text) + 1
-    if size:
-        yield start, len(texts)
-
-
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
     flat = np.concatenate(values).astype(np.int32)
@@ -487,7 +475,7 @@ def encoded(
         model = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, stop in _parts(texts):
+            for start, stop in text_ranges(texts):
                 found = model.encode(texts[start:stop])
                 if end:
                     sizes = [np.int32(len(t.encode())) for t in texts[start:stop]]

@@ -6,12 +6,13 @@ A query takes (spark, folder of the tables). Where SQL can say the same, its tex
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
     langmix,
     lines,
+    merkle,
     mixing,
     orderminhash,
     pieces,
@@ -20,9 +21,10 @@ from martloom.llm import (
     simhash,
     styletree,
     toxicity,
+    wordruns,
     wumanber,
 )
-from martloom.llm.tables import LOWER, UPPER, read, remainder
+from martloom.llm.tables import LOWER, UPPER, lower_ascii, read, remainder
 
 SHARDS = 16
 
@@ -202,6 +204,121 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rest = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    lowered = merkle.leaf(*map(F.col, rest), lower_ascii(F.col("text")))
+    leaves = docs.select(
+        F.col("source").alias("grouped"), F.col("doc_id").alias("id"),
+        merkle.leaf(*map(F.col, rest), F.col("text")).alias("digest"),
+        F.when(tampered, lowered).alias("tampered"),
+    )
+    proved, root = merkle.manifest(leaves)
+    folded = merkle.fold(F.coalesce("tampered", "digest"), F.col("path"))
+    return proved.select(
+        F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), F.col("top").alias("subroot"),
+        F.lit(root).alias("root"), F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_FIELD = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(
+    _FIELD.format(f"cast({c} AS varchar)") for c in ("doc_id", "source", "lang", "n_chars")
+) + " || {0})"
+# crc32 of the decimal id: eight steps of the reflected polynomial for each byte
+_CRC = (
+    "xor(4294967295, list_reduce([4294967295] || list_transform(string_split("
+    "cast(doc_id AS varchar), ''), lambda c: ascii(c)::BIGINT), lambda r, b: list_reduce("
+    "[xor(r, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"
+)
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+    SELECT doc_id, source, {_LEAF.format(_FIELD.format("text"))} AS leaf,
+           CASE WHEN {_CRC} % 5 = 0
+                THEN {_LEAF.format(_FIELD.format(f"translate(text, '{UPPER}', '{LOWER}')"))} END
+               AS tampered
+    FROM documents),
+p AS MATERIALIZED (
+    SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS r,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM d)),
+up(tree, lvl, pos, n, digest) AS (
+    SELECT tree, 0, pos, n, leaf FROM p
+    UNION ALL
+    SELECT tree, lvl + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 16),
+top AS MATERIALIZED (SELECT tree, lvl, digest FROM up WHERE n = 1),
+gup(lvl, pos, n, digest) AS (
+    SELECT 0, tree, (SELECT count(*) FROM top), digest FROM top
+    UNION ALL
+    SELECT lvl + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM gup WHERE n > 1 GROUP BY lvl, pos // 16),
+node AS MATERIALIZED (
+    SELECT tree, lvl, pos, digest FROM up WHERE n > 1
+    UNION ALL
+    SELECT t.tree, t.lvl + g.lvl, g.pos, g.digest FROM top t, gup g WHERE g.n > 1),
+sib AS MATERIALIZED (
+    SELECT tree, lvl, pos // 16 AS run, list(digest ORDER BY pos) AS ds FROM node GROUP BY ALL),
+way(r, tree, lvl, pos, top, proof, acc) AS (
+    SELECT r, p.tree, 0, CASE WHEN n = 1 THEN p.tree ELSE pos END, top.lvl, '',
+           coalesce(tampered, leaf)
+    FROM p JOIN top USING (tree)
+    UNION ALL
+    SELECT r, way.tree, way.lvl + 1,
+           CASE WHEN way.lvl + 1 = top THEN way.tree ELSE pos // 16 END, top,
+           proof || array_to_string(ds[:pos % 16] || ds[pos % 16 + 2:], ''),
+           sha256(array_to_string(ds[:pos % 16] || [acc] || ds[pos % 16 + 2:], ''))
+    FROM way JOIN sib ON way.tree = sib.tree AND way.lvl = sib.lvl AND pos // 16 = run),
+ends AS (SELECT r, max_by(proof, lvl) AS proof, max_by(acc, lvl) AS folded FROM way GROUP BY r)
+SELECT doc_id, leaf, top.digest AS subroot, gup.digest AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = gup.digest AS verified
+FROM p JOIN ends USING (r) JOIN top USING (tree), gup WHERE gup.n = 1"""
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """`docs(doc_id, text)`; where the id's crc32 is a multiple of ten the words from a place on are
+    replaced by repeats of the first of them."""
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(mark / 10)
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(w, a + 1, p), times))
+        both = F.concat(F.slice(w, F.lit(1), a), F.slice(tail, F.lit(1), n - a))
+        return F.when(n > 0, F.array_join(both, " "))
+
+    # inside transform the words are found once, however often they are named
+    planted = F.transform(F.array(words), repeated)[0]
+    return docs.select("doc_id", F.when(mark % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = wordruns.periodic_runs(docs, times=4, least=6)
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("least"), r["start"], r["period"]))
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.least")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.least") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 CHECKS = {
     "op1_language": (op1_language, None),
     "op2_quality": (op2_quality, None),
@@ -214,4 +331,6 @@ CHECKS = {
     "op9_near_groups": (op9_near_groups, None),
     "op10_toxicity": (op10_toxicity, None),
     "op11_pieces": (op11_pieces, None),
+    "op12_manifest": (op12_manifest, OP12_SQL),
+    "op13_runs": (op13_runs, None),
 }

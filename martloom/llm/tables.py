@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,15 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     taken = {c.lower() for c in df.columns}
     longest = max((len(c) - len(c.lstrip("_")) for c in taken), default=0)
     return [n if n.lower() not in taken else "_" * (longest + 1) + n for n in names]
+
+
+def text_ranges(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that have about `most` characters together, or a single longer text."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield start, at
+            start, size = at, 0
+        size += len(text) + 1
+    if size:
+        yield start, len(texts)

@@ -1,0 +1,129 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.llm import merkle, queries
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_tree(digests, fanout):
+    """The top, and for each digest the list of (before, after) on its way there."""
+    ways, at = [[] for _ in digests], list(range(len(digests)))
+    while len(digests) > 1:
+        runs = [digests[i : i + fanout] for i in range(0, len(digests), fanout)]
+        for n, place in enumerate(at):
+            run, slot = runs[place // fanout], place % fanout
+            ways[n].append(("".join(run[:slot]), "".join(run[slot + 1 :])))
+            at[n] = place // fanout
+        digests = ["".join(run) for run in runs]
+        digests = [sha(d) for d in digests]
+    return (digests[0] if digests else None), ways
+
+
+def nulls_first(value):
+    return (value is not None, value)
+
+
+def plain_manifest(leaves, fanout):
+    """Rows (group, id, digest, top, way) and the root."""
+    groups = {}
+    for group, number, digest in leaves:
+        groups.setdefault(group, []).append((number, digest))
+    names = sorted(groups, key=lambda g: nulls_first(g and g.encode()))
+    made = {}
+    for name in names:
+        members = sorted(groups[name], key=lambda m: (nulls_first(m[0]), m[1]))
+        made[name] = members, *plain_tree([d for _, d in members], fanout)
+    root, group_ways = plain_tree([made[n][1] for n in names], fanout)
+    rows = [
+        (name, number, digest, made[name][1], way + group_way)
+        for name, group_way in zip(names, group_ways)
+        for (number, digest), way in zip(made[name][0], made[name][2])
+    ]
+    return rows, root
+
+
+def check(rows, leaves, fanout):
+    table = rows([(*leaf, "kept") for leaf in leaves], "grouped string, id long, digest string, note string")
+    got, root = merkle.manifest(table, fanout)
+    expected, expected_root = plain_manifest(leaves, fanout)
+    assert root == expected_root
+    found = got.select(
+        "grouped", "id", "digest", "top", "path", "note",
+        merkle.fold(F.col("digest"), F.col("path")).alias("folded"),
+        merkle.proof(F.col("path")).alias("proof"),
+    ).collect()
+    assert sorted(
+        (r.grouped, r.id, r.digest, r.top, [tuple(s) for s in r.path]) for r in found
+    ) == sorted(expected) if None not in {r.grouped for r in found} | {r.id for r in found} else sorted(
+        map(repr, ((r.grouped, r.id, r.digest, r.top, [tuple(s) for s in r.path]) for r in found))
+    ) == sorted(map(repr, expected))
+    assert all(r.folded == root and r.note == "kept" for r in found)
+    assert all(r.proof == "".join(b + a for b, a in r.path) for r in found)
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 16])
+def test_small_trees(rows, fanout):
+    leaves = [("a", i, sha(str(i))) for i in range(37)] + [("b", 5, sha("b"))]
+    leaves += [("é", i, sha(f"e{i}")) for i in range(2)]
+    check(rows, leaves, fanout)
+
+
+@pytest.mark.parametrize(
+    "leaves",
+    [
+        [("a", 1, sha("x"))],
+        [("a", 1, sha("x")), ("a", 1, sha("x"))],
+        [("a", i, sha(str(i))) for i in range(17)],
+        [(None, None, sha("x")), (None, 2, sha("y")), ("", None, sha("x")), ("", None, sha("z"))],
+        # many groups of one, and a hot one of equal rows
+        [(f"g{i}", i, sha(str(i))) for i in range(40)] + [("g7", 1, sha("same"))] * 30,
+    ],
+)
+def test_odd_leaves(rows, leaves):
+    check(rows, leaves, 16)
+
+
+def test_empty_table(rows):
+    got, root = merkle.manifest(rows([], "grouped string, id long, digest string"))
+    assert root is None and got.count() == 0
+
+
+def test_leaf_tells_null_from_text(spark):
+    row = spark.range(1).select(
+        merkle.leaf(F.lit(12), F.lit("é"), F.lit(None), F.lit("-"), F.lit("")).alias("leaf")
+    ).first()
+    assert row.leaf == sha("2:12" + "2:é" + "-" + "1:-" + "0:")
+
+
+def test_query_finds_changed_texts(spark, docs, tmp_path):
+    """Rows with clashing names of other columns, texts that tampering changes and others."""
+    data = [(i, f"Text {i}" if i % 3 else f"text {i}", "en", f"s{i % 20}", i) for i in range(200)]
+    data += [(None, "Null", None, None, None), (3, None, "de", "s3", 0), (3, None, "de", "s3", 0), (7, "", None, "s1")]
+    table = docs(*data).withColumns({c: F.lit("x") for c in ("tree", "pos", "top", "path", "grouped")})
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op12_manifest(spark, str(tmp_path)).collect()
+    assert len(got) == len(data)
+
+    def plain_leaf(doc_id, text, lang=None, source=None, n_chars=None):
+        values = [doc_id, source, lang, n_chars, text]
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    rows, root = plain_manifest([(d[3] if len(d) > 3 else None, d[0], plain_leaf(*d)) for d in data], 16)
+    ways = {(number, digest): way for _, number, digest, _, way in rows}
+    texts = {plain_leaf(*d): d for d in data}
+    for r in got:
+        given = texts[r.leaf]
+        way = ways[r.doc_id, r.leaf]
+        assert r.root == root
+        if given != (3, None, "de", "s3", 0):  # equal rows have different places
+            assert r.proof_sha256 == sha("".join(b + a for b, a in way))
+        tampered = r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+        changed = tampered and given[1] is not None and given[1] != given[1].lower()
+        assert r.verified == (not changed) == (r.folded_root == root)
+    assert sum(not r.verified for r in got) > 10
