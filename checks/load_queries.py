@@ -10,9 +10,9 @@ from martloom.operators import merge as M
 from martloom.operators.rows import keep_latest as latest
 from martloom.operators.rows import smallest_per_key
 from martloom.shared import fresh_path, remove_folder, written
-from martloom.sinks.layout import bucket_count, save_hashed
+from martloom.sinks.layout import bucket_count, input_bytes, save_hashed
 from martloom.sinks.loads import load_all, run_copies
-from martloom.sinks.staging import Batch, StagingTable
+from martloom.sinks.staging import StagingTable, arrived
 from martloom.sources.changes import SEQ_FIELD
 from martloom.specs import DOUBLE, INT, LONG, TEXT, TIME, Reference, TableSpec
 from martloom.streaming.upsert import (
@@ -42,8 +42,8 @@ REVIEWS = TableSpec(
     free_text=("review_comment_title", "review_comment_message"),
 )
 USER_VALUES = TableSpec("user_state", dict(user_id=LONG, ts=TIME, value=DOUBLE), key=("user_id",))
-# What one micro-batch takes: small tables in one, large ones in several.
-BYTES_PER_TRIGGER = 10 << 30
+# Micro-batches that a stream query runs through, at any size of its input.
+MICRO_BATCHES = 8
 USER_STATE = TableSpec(
     "user_state", dict(user_id=LONG, seq=LONG, ts=TIME, value=DOUBLE), key=("user_id",)
 )
@@ -96,55 +96,56 @@ def apply_changes(spark, sf_dir):
     return M.apply_changes(target, S.changes(spark, sf_dir), ["user_id"], ["ts", "seq"], "op")
 
 
-def _two_batches(spark, sf_dir, compact, buckets=None):
+def _staged_lines(spark, sf_dir, buckets=None):
+    """An empty staging table of the last line per product, early lines and late ones."""
     lines = S.order_items_raw(spark, sf_dir).select(
-        F.col("product_id"), F.col("seller_id"), "shipping_limit_date", "price"
+        "product_id", "seller_id", "shipping_limit_date", "price"
     )
-    schema = lines.schema
     target = StagingTable(
-        fresh_path(spark, "staging"), schema, ("product_id",),
+        fresh_path(spark, "staging"), lines.schema, ("product_id",),
         ("shipping_limit_date", "price", "seller_id"), buckets,
     )
     target.create_if_absent(spark)
     early = F.coalesce(F.col("price") >= 30000, F.lit(False))
-    target.upsert(lines.where(early))
-    if compact:
-        target.compact(spark)
-    target.upsert(lines.where(~early))
-    return target.current(spark)
+    return target, lines.where(early), lines.where(~early)
 
 
 def staging_upsert(spark, sf_dir):
-    return _two_batches(spark, sf_dir, compact=False)
+    target, early, late = _staged_lines(spark, sf_dir)
+    target.upsert(early)
+    target.upsert(late)
+    return target.current(spark)
 
 
 def staging_upsert_compacted(spark, sf_dir):
-    return _two_batches(spark, sf_dir, compact=True)
+    """The early lines' products are deleted and the tombstones forgotten before all lines come."""
+    target, early, late = _staged_lines(spark, sf_dir)
+    target.upsert(early)
+    target.upsert(target.current(spark).withColumn("_deleted", F.lit(True)))
+    target.forget_deleted(spark)
+    target.upsert(early.unionByName(late))
+    return target.current(spark)
 
 
 def staging_upsert_hashed(spark, sf_dir):
     buckets = bucket_count(table(spark, sf_dir, "lineitem"))
-    return _two_batches(spark, sf_dir, compact=True, buckets=buckets)
+    target, early, late = _staged_lines(spark, sf_dir, buckets)
+    target.upsert(early)
+    target.upsert(late)
+    return target.current(spark)
 
 
 def staging_retry_after_compact(spark, sf_dir):
-    """A micro-batch fails without a mark, the table is compacted, then the micro-batch is tried
-    again: no row is lost."""
-    lines = S.order_items_raw(spark, sf_dir).select(
-        "product_id", "seller_id", "shipping_limit_date", "price"
-    )
-    early = F.coalesce(F.col("price") >= 30000, F.lit(False))
-    target = StagingTable(
-        fresh_path(spark, "staging"), lines.schema, ("product_id",),
-        ("shipping_limit_date", "price", "seller_id"),
-    )
-    target.upsert(lines.where(early))
-    unfinished = Batch(1, "stream-0", 0, "lost")
-    lines.where(~early).limit(0).write.parquet(f"{target.path}/{unfinished.name}")
-    target.compact(spark)
-    target.upsert(lines.where(~early), source="stream-0")
-    target.compact(spark)
-    target.upsert(lines.where(~early), source="stream-0")
+    """A write that was lost halfway, so that some buckets lack it, is tried again after a later one:
+    no row is lost, none is older than before."""
+    target, early, late = _staged_lines(spark, sf_dir)
+    late = arrived(late)
+    halfway = F.pmod(F.xxhash64("product_id"), F.lit(2)) == 0
+    target.upsert(late.where(halfway))
+    target.upsert(early)
+    target.forget_deleted(spark)
+    target.upsert(late)
+    target.upsert(late)
     return target.current(spark)
 
 
@@ -222,10 +223,13 @@ def hash_layout(spark, sf_dir):
 
 
 def _arriving(df, name):
-    """Change files as they would arrive: `<folder>/<name>`, with as many files as tasks."""
+    """Change files as they would arrive, `<folder>/<name>`, some for each micro-batch, and the bytes
+    that a micro-batch takes."""
     folder = fresh_path(df.sparkSession, "arriving")
-    df.write.parquet(f"{folder}/{name}")
-    return folder
+    files = max(2 * MICRO_BATCHES, df.rdd.getNumPartitions())
+    df.repartition(files).write.parquet(f"{folder}/{name}")
+    written_bytes = input_bytes(df.sparkSession.read.parquet(f"{folder}/{name}"))
+    return folder, max(1, written_bytes // MICRO_BATCHES)
 
 
 def _user_changes(spark, sf_dir):
@@ -235,9 +239,9 @@ def _user_changes(spark, sf_dir):
 
 def stream_upsert_query(spark, sf_dir):
     """Every change counts as a new state, deletes too."""
-    folder = _user_changes(spark, sf_dir)
+    folder, size = _user_changes(spark, sf_dir)
     stream = stream_changes(
-        spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=BYTES_PER_TRIGGER
+        spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=size
     )
     target = StagingTable.of(fresh_path(spark, "staging"), USER_STATE, seq=("seq",))
     stream_upsert(
@@ -247,20 +251,19 @@ def stream_upsert_query(spark, sf_dir):
 
 
 def stream_new_checkpoint(spark, sf_dir):
-    """A second stream starts with a fresh checkpoint at the place of the first, after a
-    compaction, and sees all rows; the first saw half of them."""
+    """A second stream starts with a fresh checkpoint at the place of the first and sees all rows;
+    the first saw half of them."""
     changes = S.changes(spark, sf_dir)
     target = StagingTable.of(fresh_path(spark, "staging"), USER_STATE, seq=("seq",))
     checkpoint = fresh_path(spark, "checkpoint")
     for part in (changes.where("user_id % 2 = 0"), changes):
-        folder = _arriving(part.select("op", "seq", "user_id", "ts", "value"), "user_state")
+        folder, size = _arriving(part.select("op", "seq", "user_id", "ts", "value"), "user_state")
         stream = stream_changes(
-            spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=BYTES_PER_TRIGGER
+            spark, USER_VALUES, f"{folder}/user_state", max_bytes_per_trigger=size
         )
         stream_upsert(
             stream.select(*USER_STATE.columns), target, checkpoint, True
         ).awaitTermination()
-        target.compact(spark)
         remove_folder(spark, checkpoint)
     return target.current(spark)
 
@@ -268,9 +271,10 @@ def stream_new_checkpoint(spark, sf_dir):
 def stream_apply_changes_query(spark, sf_dir):
     """The published change stream of one table, from arriving files to the merged rows."""
     target = fresh_path(spark, "staging")
+    folder, size = _user_changes(spark, sf_dir)
     for query in stream_published(
-        spark, _user_changes(spark, sf_dir), target, fresh_path(spark, "checkpoint"),
-        available_now=True, max_bytes_per_trigger=BYTES_PER_TRIGGER,
+        spark, folder, target, fresh_path(spark, "checkpoint"),
+        available_now=True, max_bytes_per_trigger=size,
         specs={"user_state": USER_VALUES},
     ).values():
         query.awaitTermination()
@@ -279,10 +283,10 @@ def stream_apply_changes_query(spark, sf_dir):
 
 
 def stream_clean_query(spark, sf_dir):
-    folder = _arriving(S.reviews(spark, sf_dir), "reviews")
+    folder, size = _arriving(S.reviews(spark, sf_dir), "reviews")
     stream = (
         spark.readStream.schema(REVIEWS.schema)
-        .option("maxBytesPerTrigger", BYTES_PER_TRIGGER)
+        .option("maxBytesPerTrigger", size)
         .parquet(f"{folder}/reviews")
     )
     path = fresh_path(spark, "cleaned")

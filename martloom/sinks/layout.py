@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # A bucket is read by one task: about as much as a task should hold.
 BUCKET_BYTES = 128 << 20
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that `df` reads; their content is not opened."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load(files).select("path", "length").distinct()
+    return listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets for a table of the estimated size of `df`: as many as keep them near
-    `bucket_bytes`, but no fewer than the session's shuffle partitions."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    """Buckets for a table made from the files of `df`: as many as keep them near `bucket_bytes`, but
+    no fewer than the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-input_bytes(df) // bucket_bytes))
 
 
 def save_hashed(
@@ -35,23 +43,3 @@ def save_hashed(
         .saveAsTable(table)
     )
     return df.sparkSession.table(table)
-
-
-def hashed_table(
-    spark: SparkSession,
-    table: str,
-    schema: T.StructType,
-    keys: Sequence[str],
-    buckets: int,
-    path: str,
-) -> DataFrame:
-    """A table saved by `save_hashed`, entered into the catalog when this session lacks it."""
-    if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        by = ", ".join(f"`{k}`" for k in keys)
-        spark.sql(
-            f"CREATE TABLE `{table}` ({columns}) USING parquet"
-            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {int(buckets)} BUCKETS"
-            f" LOCATION '{path}'"
-        )
-    return spark.table(table)

@@ -110,8 +110,8 @@ def run_copies(
     `at_once` copies run side by side. Tables in `raw` are copied without cleaning, `keys` gives
     some tables another key than that of their spec. Of rows with one key the last by the table's
     `order` columns stays; without such columns, or where they tie, a repeated key fails the copy.
-    With `buckets` each table also gets its first snapshot, hash-distributed by key. Returns
-    (table_name, status, n_rows, error), one row per copy.
+    `buckets` is the number of key buckets of tables that do not exist yet. Returns (table_name,
+    status, n_rows, error), one row per copy.
     """
 
     def copy(name: str):
@@ -125,8 +125,6 @@ def run_copies(
             table.create_if_absent(spark)
             rows = staged(read(spec), spec, raw=name in raw)
             table.upsert(rows.observe(seen, F.count(F.lit(1)).alias("n_rows")))
-            if buckets:
-                table.compact(spark)
             return name, "OK", seen.get["n_rows"], None
         except Exception as failure:  # whatever one copy raises, the others still run
             return name, "FAILED", None, f"{type(failure).__name__}: {failure}"

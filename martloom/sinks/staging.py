@@ -1,83 +1,53 @@
-"""Staging tables with one row per key, kept as parquet folders.
+"""Staging tables with one row per key: parquet, partitioned by a hash of the key.
 
-    <path>/batch-12-load-0.5f0c/       rows of one write, at most one per key
-    <path>/batch-12-load-0.5f0c.done   the mark of a finished write
-    <path>/snapshot-3-91ab/            the merged rows of the folders that its manifest names
-    <path>/manifest-3-91ab.json        what the snapshot holds, and how it is laid out
+    <path>/_buckets=64/_bucket=17/part-....parquet
 
-A write adds one folder, so its cost follows the batch and not the table. No folder is written twice:
-each try has a name of its own, and only those with a mark are read, so a failed try leaves nothing
-behind but space. A named source (a stream's micro-batch) that writes again keeps its place in the
-order, and its newest finished try counts. `compact` folds the batches into a new snapshot; its
-manifest, written last, lists the folders that are in it. Readers take the newest manifest and every
-finished batch that it doesn't list. One writer at a time.
+A write reduces its rows to one per key, reads the buckets they fall into, keeps the last row of
+every key and writes these buckets anew by dynamic partition overwrite; the others stay as they are.
+So its cost follows the touched buckets, a join on the key meets rows of one bucket only, and no
+bucket needs to be compacted. The number of buckets is part of the path and holds for every writer.
 
-Keys must hold a value: a NULL in a key column fails the write.
+The last row is that with the largest `seq`, then with the latest arrival. A load arrives when it is
+written; a stream's rows carry the time that Spark logs for their micro-batch, which is the same
+when the micro-batch is tried again, so a repeated write changes nothing. Deleted keys stay as
+tombstones, so that an older change which comes later does not bring them back.
 
-With `buckets` the snapshots are hash-distributed by key, and merging even a large batch into one
-shuffles the batch only. Bucket count and keys are in the manifest and count for its readers,
-whatever they were opened with. Each such snapshot is a bucketed table of the session catalog, entered
-again where a new session does not know it.
+Keys must hold a value: a NULL in a key column fails the write. One writer at a time; readers that
+are under way while their buckets are replaced must start again.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from typing import NamedTuple
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.rows import keep_latest
-from martloom.shared import hadoop_path, remove_folder, written
-from martloom.sinks.layout import hashed_table, save_hashed
+from martloom.shared import written
 from martloom.specs import TableSpec
 
 DELETED = "_deleted"
-ARRIVAL = "_batch"
-LOAD = "load"
+ARRIVAL = "_arrival"
+BUCKETS = "_buckets"
+BUCKET = "_bucket"
+DEFAULT_BUCKETS = 16
 
 
-class Batch(NamedTuple):
-    number: int
-    source: str
-    attempt: int
-    suffix: str
-
-    @property
-    def name(self) -> str:
-        return f"batch-{self.number}-{self.source}-{self.attempt}.{self.suffix}"
-
-
-class Snapshot(NamedTuple):
-    """A manifest: the folder, the last batch number and the batches folded into it, its layout,
-    and the number under which each stream's last batch was written."""
-
-    name: str
-    number: int
-    folded: tuple[str, ...]
-    buckets: int | None
-    keys: tuple[str, ...]
-    sources: dict[str, int]
-
-    @property
-    def generation(self) -> int:
-        return int(self.name.split("-")[1])
-
-
-def _stream_of(source: str) -> str:
-    return source.rpartition("-")[0]
+def arrived(df: DataFrame) -> DataFrame:
+    """`df` with the time of its arrival: of a stream's rows that of their micro-batch."""
+    return df.withColumn(ARRIVAL, F.unix_micros(F.current_timestamp()))
 
 
 @dataclass(frozen=True)
 class StagingTable:
-    """`seq` orders the writes of one key; rows with equal `seq` follow their batch number.
+    """`seq` orders the writes of one key; rows with equal `seq` follow their arrival.
 
-    Rows of one batch with equal `seq` are told apart by their values, so that a repeated write
+    Rows of one write with equal `seq` are told apart by their values, so that a repeated write
     stores the same row again; with `unique` they fail the write instead.
     """
 
@@ -110,181 +80,97 @@ class StagingTable:
         return cls(path, schema, tuple(spec.key), (seq.name,), buckets)
 
     def create_if_absent(self, spark: SparkSession) -> None:
-        batches, base = self._state(spark)
-        if not batches and base is None:
-            self._write(spark.createDataFrame([], self.schema), 0, LOAD)
+        if self._stored_rows(spark) is None:
+            empty = spark.createDataFrame([], self._stored)
+            empty.write.mode("append").partitionBy(BUCKETS, BUCKET).parquet(self.path)
 
-    def upsert(self, df: DataFrame, source: str | None = None) -> None:
-        """Store the last row per key of `df`; a row with `_deleted` set is a tombstone.
-
-        A `source` that wrote before takes the place of what it wrote.
-        """
-        batches, base = self._state(df.sparkSession)
-        numbers = [b.number for b in batches] + ([base.number] if base else [])
-        following = max(numbers, default=-1) + 1
-        tries = [b for b in batches if source and b.source == source]
-        if tries:
-            number = tries[0].number
-        elif base and source in base.sources:
-            number = base.sources[source]
-        else:
-            number = following
-        self._write(df, number, source or LOAD, max((b.attempt for b in tries), default=-1) + 1)
+    def upsert(self, df: DataFrame) -> None:
+        """Store the last row per key of `df`; a row with `_deleted` set is a tombstone."""
+        spark = df.sparkSession
+        stored = self._stored_rows(spark)
+        count = self._count(stored)
+        if DELETED not in df.columns:
+            df = df.withColumn(DELETED, F.lit(False))
+        if ARRIVAL not in df.columns:
+            df = arrived(df)
+        wanted = self._stored.fields[:-2]
+        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+        latest = keep_latest(self._checked(rows), self.keys, self._order)
+        # fixed once: it is read for the buckets it touches and for its rows
+        batch = written(
+            latest.withColumns(
+                {BUCKETS: F.lit(count), BUCKET: F.pmod(F.xxhash64(*self.keys), F.lit(count)).cast("int")}
+            ),
+            "batch",
+        )
+        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most `count`
+        if not touched:
+            return self.create_if_absent(spark)
+        if stored is not None:
+            same = stored.where(F.col(BUCKET).isin(touched))
+            batch = same.select(*batch.columns).unionByName(batch)
+        # both sides have a key once, so a bucket is as large as its keys are many
+        self._replace(keep_latest(batch.repartition(BUCKET), [*self.keys, BUCKETS, BUCKET], self._order))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The live rows: the last write of every key, without the deleted ones."""
-        return self._merged(spark).where(~F.col(DELETED)).select(*self.schema.names)
-
-    def compact(self, spark: SparkSession, keep_tombstones: bool = True) -> None:
-        """Write the merged rows as the newest snapshot.
-
-        Tombstones may go only once no older change of their key can still arrive.
-        """
-        batches, base = self._state(spark)
-        later = _unfolded(batches, base)
-        if not later and (base is None or base.buckets == self.buckets):
+        stored = self._stored_rows(spark)
+        if stored is None:
+            return spark.createDataFrame([], self.schema)
+        return stored.where(~F.col(DELETED)).select(*self.schema.names)
+
+    def forget_deleted(self, spark: SparkSession) -> None:
+        """Rewrite the buckets that hold tombstones without them, once no older change of their keys
+        can still arrive."""
+        stored = self._stored_rows(spark)
+        if stored is None:
             return
-        rows = self._merge_all(spark, later, base)
-        if not keep_tombstones:
-            rows = rows.where(~F.col(DELETED))
-        number = max([b.number for b in later] + ([base.number] if base else []))
-        sources = dict(base.sources) if base else {}
-        for batch in sorted(later):
-            if batch.source != LOAD:
-                of_stream = [s for s in sources if _stream_of(s) == _stream_of(batch.source)]
-                for old in of_stream:
-                    del sources[old]
-                sources[batch.source] = batch.number
-        suffix = f"{base.generation + 1 if base else 0}-{uuid.uuid4().hex[:12]}"
-        path = f"{self.path}/snapshot-{suffix}"
-        if self.buckets:
-            save_hashed(rows, _table_name(path), self.keys, self.buckets, path)
-        else:
-            rows.write.parquet(path)
-        folded = [b.name for b in batches]
-        content = Snapshot(
-            f"snapshot-{suffix}", number, tuple(folded), self.buckets, self.keys, sources
+        touched = [r[0] for r in stored.where(DELETED).select(BUCKET).distinct().collect()]
+        # a bucket that holds nothing else keeps its tombstones: an overwrite of no rows does nothing
+        if touched:
+            self._replace(stored.where(F.col(BUCKET).isin(touched) & ~F.col(DELETED)).repartition(BUCKET))
+
+    def _replace(self, rows: DataFrame) -> None:
+        """Overwrite the buckets that `rows` have rows in."""
+        (
+            rows.select(*self._stored.names)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKETS, BUCKET).parquet(self.path)
         )
-        self._put(spark, f"manifest-{suffix}.json", json.dumps(content._asdict()))
-
-    def superseded(self, spark: SparkSession, keep: int = 1) -> list[str]:
-        """Folders that new readers no longer open, nor readers of the `keep` - 1 snapshots before
-        the newest, and their marks."""
-        names = self._names(spark)
-        snapshots = self._snapshots(spark, names)
-        if not snapshots:
-            return []
-        kept = snapshots[:keep]
-        # what the oldest snapshot kept has folded is of no use to any of them
-        gone = set(kept[-1].folded) if len(snapshots) >= keep else set()
-        live = {s.name for s in kept}
-        out = []
-        for name in names:
-            stem = name.removesuffix(".done").removesuffix(".json").replace("manifest-", "snapshot-")
-            if stem in gone or stem in {s.name for s in snapshots} - live:
-                out.append(f"{self.path}/{name}")
-        return out
 
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
-        """Remove what `superseded` lists; readers of the newest `keep` snapshots go on."""
-        for path in sorted(self.superseded(spark, keep), key=lambda p: not p.endswith((".json", ".done"))):
-            spark.sql(f"DROP TABLE IF EXISTS `{_table_name(path)}`")
-            remove_folder(spark, path)
-
-    def _write(self, df: DataFrame, number: int, source: str, attempt: int = 0) -> None:
-        spark = df.sparkSession
-        if DELETED not in df.columns:
-            df = df.withColumn(DELETED, F.lit(False))
-        wanted = [*self.schema.fields, T.StructField(DELETED, T.BooleanType())]
-        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
-        latest = keep_latest(self._checked(rows), self.keys, self.seq)
-        batch = Batch(number, source, attempt, uuid.uuid4().hex[:12])
-        latest.withColumn(ARRIVAL, F.lit(number).cast("long")).write.parquet(
-            f"{self.path}/{batch.name}"
-        )
-        self._put(spark, f"{batch.name}.done", "")
+    def _count(self, stored: DataFrame | None) -> int:
+        """The number of buckets that the table was made with, else that of this object."""
+        first = stored.select(BUCKETS).first() if stored is not None else None
+        return first[0] if first else self.buckets or DEFAULT_BUCKETS
 
     def _checked(self, rows: DataFrame) -> DataFrame:
         """Fails for a NULL in the key and, with `unique`, for a key whose last row is not clear."""
         missing = F.raise_error(F.lit(f"NULL in the key of {self.path}")).cast("boolean")
-        filled = [F.col(k).isNotNull() for k in self.keys]
-        rows = rows.where(F.when(~_every(filled), missing).otherwise(True))
+        filled = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        rows = rows.where(F.when(~filled, missing).otherwise(True))
         if not self.unique:
             return rows
-        counted = rows.groupBy(*self.keys, *[s for s in self.seq if s not in self.keys]).agg(
-            F.count("*").alias("_n"),
-            F.min(F.struct(*[c for c in rows.columns if c not in (*self.keys, *self.seq)])).alias("_r"),
-        )
+        ordered = [*self.keys, *[s for s in self._order if s not in self.keys]]
+        rest = F.struct(*[c for c in rows.columns if c not in ordered])
+        counted = rows.groupBy(*ordered).agg(F.count("*").alias("_n"), F.min(rest).alias("_r"))
         shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in self.keys])
         twice = F.raise_error(F.concat(F.lit("key given twice in one batch: "), shown))
         single = counted.where(F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(True))
         return single.select(
-            *[c if c in (*self.keys, *self.seq) else F.col("_r").getField(c).alias(c)
-              for c in rows.columns]
-        )
-
-    def _merged(self, spark: SparkSession) -> DataFrame:
-        batches, base = self._state(spark)
-        return self._merge_all(spark, _unfolded(batches, base), base)
-
-    def _merge_all(
-        self, spark: SparkSession, later: list[Batch], base: Snapshot | None
-    ) -> DataFrame:
-        snapshot = self._snapshot(spark, base) if base else None
-        if not later:
-            return self._read(spark, []) if snapshot is None else snapshot
-        recent = keep_latest(
-            self._read(spark, [b.name for b in later]), self.keys, (*self.seq, ARRIVAL)
+            *[c if c in ordered else F.col("_r").getField(c).alias(c) for c in rows.columns]
         )
-        if snapshot is None:
-            return recent
-        # written once: it is read twice below, and its size then decides on a broadcast
-        return self._merge(snapshot, written(recent, "recent"), base)
-
-    def _merge(self, snapshot: DataFrame, recent: DataFrame, base: Snapshot) -> DataFrame:
-        """Rows of the snapshot, or of `recent` where it holds a later write of the key.
 
-        While the recent rows are small enough to broadcast, the snapshot is not shuffled: one
-        pass over it takes the later rows in, one over its keys finds which recent keys are new.
-        Beyond that one full outer join does both, for which a bucketed snapshot stays in place.
-        """
-        keys, order = list(self.keys), (*self.seq, ARRIVAL)
-        values = [c for c in snapshot.columns if c not in keys]
-        later = recent.select(*keys, F.struct(*values).alias("_recent"))
-        theirs = F.struct(*[F.col("_recent").getField(c).alias(c) for c in order])
-        if _broadcasts(recent):
-            wins = F.col("_recent").isNotNull() & (theirs > F.struct(*order))
-            merged = snapshot.join(later, keys, "left").select(
-                *keys,
-                *[
-                    F.when(wins, F.col("_recent").getField(c)).otherwise(F.col(c)).alias(c)
-                    for c in values
-                ],
-            )
-            known = snapshot.select(*keys).join(recent.select(*keys), keys, "left_semi")
-            return merged.unionByName(recent.join(known, keys, "left_anti"))
-        if base.buckets and base.keys == self.keys:
-            # as many partitions as buckets, else the planner would shuffle the snapshot instead;
-            # a key occurs once here, so none is hot
-            later = later.repartition(base.buckets, *keys)
-        old = snapshot.select(*keys, F.struct(*values).alias("_old"))
-        mine = F.struct(*[F.col("_old").getField(c).alias(c) for c in order])
-        wins = F.col("_old").isNull() | (F.col("_recent").isNotNull() & (theirs > mine))
-        both = old.join(later, keys, "full_outer")
-        return both.select(
-            *keys,
-            *[
-                F.when(wins, F.col("_recent").getField(c))
-                .otherwise(F.col("_old").getField(c)).alias(c)
-                for c in values
-            ],
-        )
+    def _stored_rows(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.schema(self._stored).parquet(self.path)
+        except AnalysisException as failure:
+            if failure.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
-    def _snapshot(self, spark: SparkSession, base: Snapshot) -> DataFrame:
-        if not base.buckets:
-            return self._read(spark, [base.name])
-        path = f"{self.path}/{base.name}"
-        return hashed_table(spark, _table_name(path), self._stored, base.keys, base.buckets, path)
+    @property
+    def _order(self) -> tuple[str, ...]:
+        return (*self.seq, ARRIVAL)
 
     @property
     def _stored(self) -> T.StructType:
@@ -293,90 +179,7 @@ class StagingTable:
                 *self.schema.fields,
                 T.StructField(DELETED, T.BooleanType()),
                 T.StructField(ARRIVAL, T.LongType()),
+                T.StructField(BUCKETS, T.IntegerType()),
+                T.StructField(BUCKET, T.IntegerType()),
             ]
         )
-
-    def _read(self, spark: SparkSession, names: list[str]) -> DataFrame:
-        if not names:
-            return spark.createDataFrame([], self._stored)
-        return spark.read.schema(self._stored).parquet(*[f"{self.path}/{n}" for n in names])
-
-    def _state(self, spark: SparkSession) -> tuple[list[Batch], Snapshot | None]:
-        """Finished batches and the newest snapshot, from one listing and one manifest."""
-        names = self._names(spark)
-        snapshots = self._snapshots(spark, names, 1)
-        batches = []
-        for name in names:
-            if name.startswith("batch-") and name.endswith(".done"):
-                number, _, rest = name.removeprefix("batch-").removesuffix(".done").partition("-")
-                source, _, last = rest.rpartition("-")
-                attempt, _, suffix = last.partition(".")
-                batches.append(Batch(int(number), source, int(attempt), suffix))
-        return sorted(batches), snapshots[0] if snapshots else None
-
-    def _snapshots(
-        self, spark: SparkSession, names: list[str], most: int | None = None
-    ) -> list[Snapshot]:
-        """The newest `most` manifests, newest first."""
-        manifests = sorted(
-            (n for n in names if n.startswith("manifest-") and n.endswith(".json")),
-            key=lambda n: int(n.split("-")[1]),
-            reverse=True,
-        )
-        out = []
-        for name in manifests[:most]:
-            got = json.loads(self._get(spark, name))
-            out.append(Snapshot(**{**got, "folded": tuple(got["folded"]), "keys": tuple(got["keys"])}))
-        return out
-
-    def _names(self, spark: SparkSession) -> list[str]:
-        """Every entry of the table's folder, from one listing."""
-        path, files = hadoop_path(spark, self.path)
-        if not files.exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in files.listStatus(path))
-
-    def _put(self, spark: SparkSession, name: str, text: str) -> None:
-        """A small file that appears under its name with its whole content."""
-        draft, files = hadoop_path(spark, f"{self.path}/_{name}")
-        stream = files.create(draft, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        files.rename(draft, hadoop_path(spark, f"{self.path}/{name}")[0])
-
-    def _get(self, spark: SparkSession, name: str) -> str:
-        path, files = hadoop_path(spark, f"{self.path}/{name}")
-        stream = files.open(path)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-
-def _unfolded(batches: list[Batch], base: Snapshot | None) -> list[Batch]:
-    """All loads, and the newest try of each named source, that the snapshot doesn't hold."""
-    folded = set(base.folded) if base else set()
-    newest = {b.source: b for b in sorted(batches, key=lambda b: b.attempt)}
-    return [
-        b for b in batches
-        if b.name not in folded and (b.source == LOAD or b == newest[b.source])
-    ]
-
-
-def _every(conditions):
-    out = F.lit(True)
-    for condition in conditions:
-        out = out & condition
-    return out
-
-
-def _broadcasts(table: DataFrame) -> bool:
-    """Whether a written table is below the size up to which Spark broadcasts a side."""
-    spark = table.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def _table_name(path: str) -> str:
-    return f"staging_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"

@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.sinks.loads import staged
-from martloom.sinks.staging import DELETED, StagingTable
+from martloom.sinks.staging import DELETED, StagingTable, arrived
 from martloom.sources.changes import DELETE, OP, SEQ, SEQ_FIELD, read_changes
 from martloom.specs import SOURCE_TABLES, TableSpec
 
 # Fixed value: flush interval of the buffered sink.
 FLUSH_INTERVAL = "5 seconds"
-# Micro-batches between two compactions: a reader opens at most so many folders.
-COMPACT_EVERY = 20
 
 
 def stream_changes(
@@ -43,26 +41,18 @@ def stream_upsert(
     checkpoint: str,
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
-    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep the last row per key in `target`.
 
-    Every micro-batch is reduced to one row per key and stored under the id of its query and its
-    number. The id lives in the checkpoint: a micro-batch that runs again after a failure takes
-    the place of its first try, and a stream with a new checkpoint never takes another's. Every
-    `compact_every` micro-batches the target is compacted and older folders are removed, so their
-    number stays bounded.
+    Every micro-batch is reduced to one row per key and merged into the buckets it touches. Its rows
+    carry the time that the checkpoint holds for it, so a micro-batch that runs again after a failure
+    takes the place of its first try, also where later writes have come since.
     """
 
     def flush(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        target.upsert(rows, source=f"{query_id}-{number}")
-        if number % compact_every == compact_every - 1:
-            target.compact(spark)
-            target.vacuum(spark)
-
-    writer = stream.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+        target.upsert(rows)
+
+    writer = arrived(stream).writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()

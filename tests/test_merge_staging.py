@@ -76,107 +76,74 @@ def test_apply_changes(rows, kv):
 
 def test_staging_keeps_the_last_row(spark, kv, tmp_path):
     table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    assert table.current(spark).collect() == []
+    assert found(table.current(spark)) == []
+    table.create_if_absent(spark)
     table.create_if_absent(spark)
-    assert table.current(spark).columns == ["k", "v"] and table.current(spark).count() == 0
+    assert found(table.current(spark)) == []
     table.upsert(kv(("a", 1), ("b", 1)))
     table.upsert(kv(("b", 2), ("c", 2)))
-    expected = [("a", 1), ("b", 2), ("c", 2)]
-    assert found(table.current(spark)) == expected
-    table.compact(spark)
-    table.compact(spark)
-    assert found(table.current(spark)) == expected
-    table.upsert(kv(("a", 0), ("d", 3)))
-    assert found(table.current(spark)) == [("a", 0), ("b", 2), ("c", 2), ("d", 3)]
+    table.upsert(kv())
     table.create_if_absent(spark)
-    assert table.current(spark).count() == 4
+    assert found(table.current(spark)) == [("a", 1), ("b", 2), ("c", 2)]
 
 
-def test_staging_source_takes_the_place_of_its_own_batch(spark, kv, tmp_path):
+def test_a_repeated_write_keeps_its_place(spark, kv, tmp_path):
+    """Also when a later write replaced all of its rows, or when it was written in part."""
     table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 5)), source="s-0")
-    table.upsert(kv(("c", 2)))
-    table.upsert(kv(("a", 1), ("b", 1)), source="s-0")
-    assert found(table.current(spark)) == [("a", 1), ("b", 1), ("c", 2)]
-    table.compact(spark)
-    table.upsert(kv(("a", 1), ("b", 1)), source="s-0")
-    assert found(table.current(spark)) == [("a", 1), ("b", 1), ("c", 2)]
-
-
-def test_staging_ignores_unfinished_folders(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 1)))
-    (tmp_path / "t" / "batch-1-load-0.x").mkdir()
-    (tmp_path / "t" / "snapshot-1-x").mkdir()
-    assert found(table.current(spark)) == [("a", 1)]
+    first = kv(("a", 1), ("b", 1)).withColumn("_arrival", F.lit(1000).cast("long"))
+    table.upsert(first.where("k = 'a'"))
     table.upsert(kv(("a", 2)))
-    assert found(table.current(spark)) == [("a", 2)]
-    table.compact(spark)
-    table.upsert(kv(("b", 2)))
-    assert found(table.current(spark)) == [("a", 2), ("b", 2)]
-
-
-def test_a_retry_after_a_compaction_is_not_lost(spark, kv, tmp_path):
-    """A micro-batch that left a folder without a mark is written again after a compaction."""
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 1)))
-    (tmp_path / "t" / "batch-1-s-0-0.lost").mkdir()
-    table.compact(spark)
-    table.upsert(kv(("b", 1)), source="s-0")
-    assert found(table.current(spark)) == [("a", 1), ("b", 1)]
+    for _ in range(2):
+        table.upsert(first)
+        assert found(table.current(spark)) == [("a", 2), ("b", 1)]
 
 
-def test_rows_added_to_a_folded_source_appear(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 1)), source="s-0")
-    table.compact(spark)
-    table.vacuum(spark, keep=1)
-    table.upsert(kv(("a", 1), ("b", 1)), source="s-0")
-    assert found(table.current(spark)) == [("a", 1), ("b", 1)]
+def test_untouched_buckets_keep_their_files(spark, kv, tmp_path):
+    table = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=8)
+    numbers = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    table.upsert(numbers)
 
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
 
-def test_a_replay_keeps_its_place_after_its_folder_is_gone(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 1)), source="s-0")
-    table.upsert(kv(("a", 2)))
-    table.compact(spark)
-    table.vacuum(spark, keep=1)
-    table.upsert(kv(("a", 1)), source="s-0")
-    assert found(table.current(spark)) == [("a", 2)]
+    before = files()
+    table.upsert(kv(("7", 2)))
+    after = files()
+    touched = {p.parent for p in before.keys() ^ after.keys()}
+    assert len(touched) == 1 and len({p.parent for p in before}) == 8
+    assert all(after[p] == t for p, t in before.items() if p.parent not in touched)
+    assert dict(table.current(spark).groupBy("v").count().collect()) == {1: 999, 2: 1}
 
 
-def test_nothing_that_is_read_is_written_over(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(kv(("a", 1)), source="s-0")
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*") if p.is_file()}
-    opened = table.current(spark)
-    table.upsert(kv(("a", 3)), source="s-0")
-    table.compact(spark)
-    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
-    assert found(opened) == [("a", 1)] and found(table.current(spark)) == [("a", 3)]
+def test_a_write_reads_the_touched_buckets_only(spark, kv, tmp_path):
+    table = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=8)
+    table.upsert(spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")))
+    plan = table._stored_rows(spark).where("_bucket in (3)")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan.toString()
 
 
-def test_a_snapshot_is_read_with_its_own_bucket_count(spark, tmp_path):
-    """Another count, and a catalog that has forgotten the table, change no row."""
+def test_the_number_of_buckets_is_the_tables(spark, tmp_path):
     numbers = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
-    eight = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=8)
-    eight.upsert(numbers)
-    eight.compact(spark)
-    for t in spark.catalog.listTables():
-        if t.name.startswith("staging_"):
-            spark.sql(f"DROP TABLE {t.name}")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for count in (16, None):
-            other = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=count)
-            other.upsert(numbers.withColumn("v", F.lit(count or 0)))
-            assert other.current(spark).count() == 1000
-            assert {r.v for r in other.current(spark).collect()} == {count or 0}
-        sixteen = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=16)
-        sixteen.compact(spark)
-        assert sixteen.current(spark).count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    StagingTable.of(str(tmp_path / "t"), SPEC, buckets=8).upsert(numbers)
+    for count in (5, None):
+        other = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=count)
+        other.upsert(numbers.withColumn("v", F.lit(count or 0)))
+        assert other.current(spark).count() == 1000
+        assert {r.v for r in other.current(spark).collect()} == {count or 0}
+    assert len(list((tmp_path / "t").glob("_buckets=8/_bucket=*"))) == 8
+    assert len(list((tmp_path / "t").glob("_buckets=*"))) == 1
+
+
+def test_a_hot_key_is_one_row(spark, rows, tmp_path):
+    table = StagingTable.of(str(tmp_path / "t"), SPEC, seq=("v",))
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("int").alias("v"),
+    )
+    for _ in range(2):
+        table.upsert(hot)
+        assert table.current(spark).count() == 2001
+        assert table.current(spark).where("k = 'hot'").first().v == 2997
 
 
 def test_null_keys_are_refused(spark, kv, tmp_path):
@@ -189,90 +156,16 @@ def test_null_keys_are_refused(spark, kv, tmp_path):
 
 def test_staging_tombstones(spark, rows, tmp_path):
     schema = rows([], "k string, seq long, v int").schema
-    table = StagingTable(str(tmp_path / "t"), schema, ("k",), ("seq",))
+    table = StagingTable(str(tmp_path / "t"), schema, ("k",), ("seq",), buckets=1)
     batch = lambda *data: rows(list(data), "k string, seq long, v int, _deleted boolean")
     table.upsert(batch(("a", 5, 1, False), ("b", 5, 1, False)))
-    table.compact(spark)
     table.upsert(batch(("a", 7, None, True)))
     table.upsert(batch(("a", 6, 9, False), ("b", 4, 9, False)))
     assert found(table.current(spark)) == [("b", 5, 1)]
-    table.compact(spark)
+    table.forget_deleted(spark)
     assert found(table.current(spark)) == [("b", 5, 1)]
     table.upsert(batch(("a", 6, 9, False)))
-    assert found(table.current(spark)) == [("b", 5, 1)]
-    table.compact(spark, keep_tombstones=False)
-    assert found(table.current(spark)) == [("b", 5, 1)]
-
-
-def test_staging_superseded(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    for i in range(3):
-        table.upsert(kv(("a", i)), source=f"s-{i}")
-    assert table.superseded(spark) == []
-    table.compact(spark)
-    table.upsert(kv(("a", 9)))
-
-    def names(keep):
-        return sorted(p.rpartition("/")[2].rpartition(".")[0] for p in table.superseded(spark, keep)
-                      if not p.endswith(".done"))
-
-    assert names(1) == ["batch-0-s-0-0", "batch-1-s-1-0", "batch-2-s-2-0"]
-    assert names(2) == []
-    table.compact(spark)
-    assert names(2) == ["batch-0-s-0-0", "batch-1-s-1-0", "batch-2-s-2-0"]
-    table.vacuum(spark)
-    assert found(table.current(spark)) == [("a", 9)]
-
-
-def test_snapshot_is_not_shuffled_for_a_small_batch(spark, kv, tmp_path):
-    table = StagingTable.of(str(tmp_path / "t"), SPEC)
-    table.upsert(spark.range(20000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")))
-    table.compact(spark)
-    table.upsert(kv(("7", 2)))
-    assert table.current(spark).where("v = 2").count() == 1
-    plan = table.current(spark)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-def paths_to_join(df, scan):
-    """For every line of the plan with `scan`: the steps above it up to the first join."""
-    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
-    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
-    found = []
-    for at in (i for i, line in enumerate(lines) if scan in line):
-        steps, depth = [], depths[at]
-        for i in range(at - 1, -1, -1):
-            if depths[i] < depth:
-                steps.append(lines[i])
-                depth = depths[i]
-                if "Join" in lines[i]:
-                    break
-        found.append(steps)
-    return found
-
-
-def test_bucketed_snapshot_is_not_shuffled_for_a_large_batch(spark, tmp_path):
-    def numbers(n, v):
-        return spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
-
-    table = StagingTable.of(str(tmp_path / "t"), SPEC, buckets=4)
-    table.upsert(numbers(9000, 1))
-    table.compact(spark)
-    table.upsert(numbers(6000, 2))
-    for t in spark.catalog.listTables():
-        if t.name.startswith("staging_"):
-            spark.sql(f"DROP TABLE {t.name}")  # as in a new session: the files stay
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        current = table.current(spark)
-        assert dict(current.groupBy("v").count().collect()) == {1: 3000, 2: 6000}
-        paths = paths_to_join(current, "Bucketed: true")
-        assert len(paths) == 1
-        assert not any("Exchange" in step for path in paths for step in path)
-        table.compact(spark)
-        assert dict(table.current(spark).groupBy("v").count().collect()) == {1: 3000, 2: 6000}
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found(table.current(spark)) == [("a", 6, 9), ("b", 5, 1)]
 
 
 def test_load_order_puts_parents_first():
@@ -336,8 +229,7 @@ def test_copies_with_another_key_raw_text_and_buckets(spark, rows, tmp_path):
     assert (report.status, report.n_rows) == ("OK", 2)
     table = StagingTable.of(f"{tmp_path}/r", spec, keys=("k", "t"))
     assert found(table.current(spark)) == [("a", "x\ty"), ("a", "z")]
-    plan = table.current(spark)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: false (disabled by query planner)" in plan  # nothing here to gain by it
+    assert {p.name for p in (tmp_path / "r").glob("_buckets=*")} == {"_buckets=4"}
 
 
 def test_star_tables_are_hashed_by_key(spark, rows, tmp_path):
