@@ -43,7 +43,7 @@ REVIEWS = TableSpec(
 )
 USER_VALUES = TableSpec("user_state", dict(user_id=LONG, ts=TIME, value=DOUBLE), key=("user_id",))
 # Micro-batches that a stream query runs through, at any size of its input.
-MICRO_BATCHES = 8
+MICRO_BATCHES = 4
 USER_STATE = TableSpec(
     "user_state", dict(user_id=LONG, seq=LONG, ts=TIME, value=DOUBLE), key=("user_id",)
 )
