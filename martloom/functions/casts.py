@@ -32,8 +32,8 @@ NULL_MARKERS = (
 
 # The parts of a timestamp pattern, with what each looks like in text.
 _PATTERN_PARTS = {
-    "yyyy": r"(\d{4})", "MM": r"(\d{2})", "dd": r"(\d{2})",
-    "HH": r"(\d{2})", "mm": r"(\d{2})", "ss": r"(\d{2})",
+    "yyyy": r"\d{4}", "MM": r"\d{2}", "dd": r"\d{2}",
+    "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}",
 }
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
@@ -42,7 +42,8 @@ TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 _NUMBER_SHAPE = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 )
-_WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+# Numbers whose part before the point is the whole number that they are cut to.
+_PLAIN_SHAPE = r"^\s*[+-]?\d+(?:\.\d*)?\s*$"
 # Ends of the whole number types as doubles: a double at or beyond them would saturate in a cast.
 _LIMIT = {"int": 2.0**31, "bigint": 2.0**63}
 
@@ -66,7 +67,7 @@ def lenient_double(col: Column) -> Column:
 
 def lenient_int(col: Column) -> Column:
     """As `lenient_double`, cut to a whole number; a number outside INT fails."""
-    return F.coalesce(_whole(col, "int"), _cut(lenient_double(col), "int"))
+    return F.coalesce(_plain(col, "int"), _cut(lenient_double(col), "int"))
 
 
 def strict_double(col: Column) -> Column:
@@ -77,7 +78,7 @@ def strict_double(col: Column) -> Column:
 def strict_int(col: Column, type_: str = "int") -> Column:
     """Number in the text cut to a whole one; missing or other text fails the job."""
     return F.coalesce(
-        _whole(col, type_), _cut(lenient_double(col), type_), _fail("not a whole number", col)
+        _plain(col, type_), _cut(lenient_double(col), type_), _fail("not a whole number", col)
     )
 
 
@@ -89,15 +90,19 @@ def lenient_timestamp(col: Column, pattern: str = TIMESTAMP_PATTERN) -> Column:
     """
     pieces = re.split("(" + "|".join(_PATTERN_PARTS) + ")", pattern)
     shape = "".join(_PATTERN_PARTS.get(p) or re.escape(p) for p in pieces)
-    place = {part: i + 1 for i, part in enumerate(p for p in pieces if p in _PATTERN_PARTS)}
-
-    def part(name: str) -> Column:
-        return F.regexp_extract(col, f"^{shape}$", place[name]) if name in place else F.lit("00")
-
-    iso = col if pattern == TIMESTAMP_PATTERN else F.concat(
-        part("yyyy"), F.lit("-"), part("MM"), F.lit("-"), part("dd"), F.lit(" "),
-        part("HH"), F.lit(":"), part("mm"), F.lit(":"), part("ss"),
-    )
+    if pattern == TIMESTAMP_PATTERN:
+        iso = col
+    else:
+        # text of this shape has every part at a fixed place
+        place = {p: len("".join(pieces[:i])) + 1 for i, p in enumerate(pieces) if p in _PATTERN_PARTS}
+
+        def part(name: str) -> Column:
+            return F.substring(col, place[name], len(name)) if name in place else F.lit("00")
+
+        iso = F.concat(
+            F.concat_ws("-", part("yyyy"), part("MM"), part("dd")), F.lit(" "),
+            F.concat_ws(":", part("HH"), part("mm"), part("ss")),
+        )
     return F.when(col.rlike(f"^{shape}$"), iso).try_cast("timestamp_ntz")
 
 
@@ -108,14 +113,15 @@ def money(col: Column) -> Column:
     )
 
 
-def _whole(col: Column, type_: str) -> Column:
-    """Digits alone are read exactly; what the type can't hold is left to fail in `_cut`."""
-    exact = F.when(col.rlike(_WHOLE_SHAPE), F.trim(col)).try_cast("decimal(38,0)")
-    return exact.try_cast(type_)
+def _plain(col: Column, type_: str) -> Column:
+    """Numbers without exponent, read exactly from the digits before the point; what the type can't
+    hold is left to fail in `_cut`."""
+    whole = F.substring_index(col, ".", 1)
+    return F.when(col.rlike(_PLAIN_SHAPE), whole).try_cast(type_)
 
 
 def _cut(number: Column, type_: str) -> Column:
-    """Reached only by text that is no whole number of `type_` as it stands."""
+    """Reached only by text whose digits before the point are no number of `type_`."""
     inside = (number > -_LIMIT[type_] - 1) & (number < _LIMIT[type_])
     return F.coalesce(
         F.when(inside, number).try_cast(type_),

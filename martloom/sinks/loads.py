@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
-from functools import partial
+from functools import partial, reduce
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,6 +37,40 @@ def load_full(
     return seen.get["n_rows"]
 
 
+def checked_load(
+    df: DataFrame, path: str, spec: TableSpec, parents: Mapping[str, DataFrame] = {}
+) -> DataFrame:
+    """Replace the table at `path` and count what violates `spec` in the same pass.
+
+    Returns (table_name, check_name, subject, n_violations) as `check_table` does, for required
+    values, text lengths and references to the `parents` given; a repeated key needs a pass of its
+    own. The rows are written whatever is found. Parents' keys are looked up by left joins, in which
+    a hot reference can be split.
+    """
+    rows = project(df, spec)
+    measures = [
+        *[("not_null", c, F.count_if(F.col(c).isNull())) for c in spec.required],
+        *[("length", c, F.count_if(F.length(c) > n)) for c, n in spec.text_limits.items()],
+    ]
+    for n, ref in enumerate(r for r in spec.references if r.parent in parents):
+        known = parents[ref.parent].select(
+            *[F.col(p).alias(f"_{n}_{c}") for c, p in zip(ref.columns, ref.parent_columns)]
+        ).distinct()
+        pairs = [F.col(c) == F.col(f"_{n}_{c}") for c in ref.columns]
+        rows = rows.join(known, reduce(lambda a, b: a & b, pairs), "left")
+        stated = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ref.columns])
+        orphan = stated & F.col(f"_{n}_{ref.columns[0]}").isNull()
+        measures.append(("reference", ref.parent, F.count_if(orphan)))
+    seen = Observation()
+    counted = rows.observe(seen, *[m.alias(f"m{n}") for n, (_, _, m) in enumerate(measures)])
+    counted.select(*spec.columns).write.mode("overwrite").parquet(path)
+    found = seen.get
+    return df.sparkSession.createDataFrame(
+        [(spec.name, check, subject, found[f"m{n}"]) for n, (check, subject, _) in enumerate(measures)],
+        "table_name string, check_name string, subject string, n_violations long",
+    )
+
+
 def load_order(specs: Iterable[TableSpec]) -> list[str]:
     """Table names with every parent before its children."""
     chosen = {s.name: s for s in specs}

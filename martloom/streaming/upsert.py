@@ -41,6 +41,7 @@ def stream_upsert(
     checkpoint: str,
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Keep the last row per key in `target`.
 
@@ -49,10 +50,15 @@ def stream_upsert(
     takes the place of its first try, also where later writes have come since.
     """
 
+    target.create_if_absent(stream.sparkSession)
+
     def flush(rows: DataFrame, number: int) -> None:
         target.upsert(rows)
 
-    writer = arrived(stream).writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+    writer = (
+        arrived(stream).writeStream.foreachBatch(flush).outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+    )
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
