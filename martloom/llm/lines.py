@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import lower_ascii, text_key
+from martloom.llm.tables import lower_ascii, text_key, unused
 from martloom.shared import written
 
 MIN_DOCUMENTS = 10
@@ -73,14 +73,20 @@ def without_common_lines(
         .groupBy("k1", "k2")
         .agg(F.collect_set("at").alias("dropped"))
     )
-    lines = lines_of(F.col("text"))
-    gone = F.coalesce("dropped", F.array().cast("array<int>"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
-    keyed = docs.withColumns(dict(zip(("k1", "k2"), text_key("doc_id", "text"))))
-    joined = keyed.join(dropped, ["k1", "k2"], "left").withColumn("_lines", lines)
+    # work columns have names that no column of the documents has
+    k1, k2, places, split = unused(docs, "k1", "k2", "places", "split")
+    gone = F.coalesce(places, F.array().cast("array<int>"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone)
+    keys = [key.alias(name) for key, name in zip(text_key("doc_id", "text"), (k1, k2))]
+    named = dropped.select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("dropped").alias(places)
+    )
+    joined = docs.select("*", *keys).join(named, [k1, k2], "left").select(
+        "*", lines_of(F.col("text")).alias(split)
+    )
     return joined.select(
         *[F.col(f"`{c}`") for c in names],
-        F.size("_lines").cast("bigint").alias("n_lines"),
+        F.size(split).cast("bigint").alias("n_lines"),
         F.size(gone).cast("bigint").alias("n_dropped"),
-        F.array_join(F.transform(stay, lambda at: F.get("_lines", at)), "\n").alias("kept_text"),
+        F.array_join(F.transform(stay, lambda at: F.get(split, at)), "\n").alias("kept_text"),
     )

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from martloom.llm.tables import unused
 from martloom.shared import written
 
 WEIGHTS = (5, 2, 1)
@@ -145,9 +146,8 @@ def _sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def _times(hash_column: str) -> Column:
-    extra = (F.col(hash_column) < F.col("threshold")).cast("bigint")
-    return F.col("repeats") + extra
+def _times(hash_column: str, repeats: str = "repeats", threshold: str = "threshold") -> Column:
+    return F.col(repeats) + (F.col(hash_column) < F.col(threshold)).cast("bigint")
 
 
 def mixed_sizes(
@@ -177,12 +177,16 @@ def mixed(
 ) -> DataFrame:
     """The rows of `docs(doc_id, text, source, ...)` as often as the mix takes them, by the rules
     of `mixed_sizes`."""
+    # work columns have names that no column of the documents has
+    of, repeats, threshold, hashed, again = unused(
+        docs, "of", "repeats", "threshold", "hashed", "again"
+    )
     plan = mix_plan(_sized(docs), weights, share, most).select(
-        F.col("of").alias("_of"), "repeats", "threshold"
+        F.col("of").alias(of), F.col("repeats").alias(repeats), F.col("threshold").alias(threshold)
     )
-    hashed = docs.withColumn("_hash", row_hash(F.col("doc_id"), F.col("text")))
-    taken = hashed.join(plan, F.col("source").eqNullSafe(F.col("_of"))).withColumn(
-        "_times", _times("_hash")
+    rows = docs.select("*", row_hash(F.col("doc_id"), F.col("text")).alias(hashed))
+    taken = rows.join(plan, F.col("source").eqNullSafe(F.col(of)))
+    times = F.array_repeat(F.lit(0), _times(hashed, repeats, threshold).cast("int"))
+    return taken.select("*", F.explode(times).alias(again)).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )
-    again = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))
-    return taken.withColumn("_again", again).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ A text's k-mers (`k` code points; the whole text if it is shorter) are numbered
 that the second "abc" differs from the first. Each numbered k-mer gets a hash, whose upper bits
 choose one of `BINS` bins, so that one pass serves as many independent minima (Li et al., "One
 Permutation Hashing", 2012). In each bin the `kept` smallest are taken in the order in which they
-stand in the text, and that tuple is hashed to 16 bits (Marcais et al., "Locality-sensitive hashing for the
+stand in the text, and that tuple is hashed to 32 bits (Marcais et al., "Locality-sensitive hashing for the
 edit distance", 2019). Likeness counts the bins with equal tuples among those in which either text
 has any; taken to the root `kept` that estimates the Jaccard index of the k-mers, given as the
 share 2j / (1 + j) of either text that both have. Equal fingerprints have likeness 1, so also two
@@ -27,7 +27,7 @@ from martloom.operators.keys import assign_keys
 
 K, KEPT, BINS = 8, 2, 64
 
-_EMPTY = np.uint16(0)
+_EMPTY = np.uint32(0)
 
 
 def code_points(text: str | None) -> np.ndarray:
@@ -46,7 +46,7 @@ def kmer_hashes(points: np.ndarray, k: int = K) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray, kept: int = KEPT, bins: int = BINS) -> np.ndarray:
-    """A 16-bit hash for each bin, zero for an empty one, from k-mer hashes in text order."""
+    """A 32-bit hash for each bin, zero for an empty one, from k-mer hashes in text order."""
     out = np.full(bins, _EMPTY)
     if not len(hashes):
         return out
@@ -73,7 +73,7 @@ def sketch(hashes: np.ndarray, kept: int = KEPT, bins: int = BINS) -> np.ndarray
         has = taken > turn
         tuples[has] = mixed(tuples[has] * MULTIPLIER + numbered[in_text[start[has] + turn]])
     full = counts > 0
-    out[full] = np.maximum(tuples[full] >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+    out[full] = np.maximum(tuples[full] >> np.uint64(32), np.uint64(1)).astype(np.uint32)
     return out
 
 
@@ -172,7 +172,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 points = code_points(unpacker.decompress(packed).decode())
                 kept = points[: len(points) - len(points) // 4]
                 edited = np.concatenate([kept, code_points(start)])
-                own, after = (np.frombuffer(p, dtype=np.uint16) for p in (own, after))
+                own, after = (np.frombuffer(p, dtype=np.uint32) for p in (own, after))
                 other = sketch(kmer_hashes(edited))
                 digest = hashlib.sha256(edited.tobytes().decode("utf-32-le").encode()).hexdigest()
                 out.append(

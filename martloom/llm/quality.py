@@ -48,14 +48,18 @@ def features(text: Column) -> dict[str, Column]:
 
 def fit(measured: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> np.ndarray | None:
     """Weights of the classifier (the last is the constant) from at most `most` labelled ids of
-    each class, chosen by a hash of the id; None if only one class, or none, is labelled."""
+    each class, chosen by a hash of the id, and of the rows of one id the one with the smallest
+    measures; None if only one class, or none, is labelled."""
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     )
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("quality") == c).orderBy(*order).limit(most) for c in (0, 1)]
-    rows = measured.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    found = measured.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    # one row of each id, however often it occurs
+    one = F.min(F.struct(*FEATURES, "quality")).alias("one")
+    rows = found.groupBy("doc_id").agg(one).select("one.*")
     # in one order on every run, so that sums agree
     data = np.array(sorted(rows.select(*FEATURES, "quality").collect()), dtype=float)
     if not len(data) or data[:, -1].min() == data[:, -1].max():

@@ -146,7 +146,9 @@ def shard_positions(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFra
     `docs(doc_id, text)`; slot numbers the rows of a shard from 0 without gaps.
 
     Rows are numbered within their virtual slot, ordered by id (NULL first) and a hash of the text,
-    after the rows of the shard's earlier slots: no task sees a whole shard.
+    after the rows of the shard's earlier slots: no task sees a whole shard. Rows that are equal in id
+    and text are dealt over all slots, so that a third of the table may be one row repeated; which of
+    them goes where is all the same. Equal texts of different ids are different rows.
     """
     text = F.col("text")
     placed = written(
@@ -156,6 +158,15 @@ def shard_positions(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFra
             F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("text_crc32"),
             virtual_slot(F.col("doc_id"), text, slots).alias("virtual_slot"),
             *text_key("doc_id", "text"),
+            F.monotonically_increasing_id().alias("mark"),
+        ),
+        "unplaced",
+    )
+    repeated = placed.groupBy("k1", "k2").count().where("count > 1")
+    salted = F.pmod(F.xxhash64("k1", "k2", "mark"), F.lit(slots)).cast("int")
+    placed = written(
+        placed.join(repeated, ["k1", "k2"], "left").withColumn(
+            "virtual_slot", F.when(F.col("count") > 1, salted).otherwise(F.col("virtual_slot"))
         ),
         "placed",
     )
@@ -167,7 +178,7 @@ def shard_positions(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFra
     places = docs.sparkSession.createDataFrame(
         starts, "virtual_slot int, shard int, first long"
     )
-    within = W.partitionBy("virtual_slot").orderBy("doc_id", "k1", "k2")
+    within = W.partitionBy("virtual_slot").orderBy("doc_id", "k1", "k2", "mark")
     return placed.withColumn("nth", F.row_number().over(within)).join(
         F.broadcast(places), "virtual_slot"
     ).select(

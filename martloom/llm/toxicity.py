@@ -92,7 +92,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     """(text, toxic) of at most `most` labelled ids of each class, chosen by a hash of the id.
 
     An id labelled more than once is toxic if any label says so; NULL ids and labels don't count.
-    The chosen ids are at most 2 * `most`, so they go to the documents by broadcast.
+    The chosen ids are at most 2 * `most`, so they go to the documents by broadcast. Of the rows of
+    one id the text with the least hash is taken, so the sample has no more rows than ids.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -102,7 +103,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("toxic") == c).orderBy(*order).limit(most) for c in (0, 1)]
     both = chosen[0].union(chosen[1])
-    return docs.join(F.broadcast(both), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(both), "doc_id")
+    one = F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "text")).alias("one")
+    return found.groupBy("doc_id").agg(one).select("one.text", "one.toxic")
 
 
 def _telling_buckets(sample: DataFrame, most: int) -> np.ndarray:

@@ -135,3 +135,16 @@ def test_quality_shrinks_sparse_sites(rows):
     assert quality.site_quality(empty, labels, F.col("host"), F.col("path")).count() == 0
     unlabelled = quality.site_quality(table, labels.where("doc_id < 0"), F.col("host"), F.col("path"))
     assert unlabelled.where("evidence <> 0.5").count() == 0
+
+
+def test_one_id_in_a_third_of_all_rows_is_one_row_of_the_sample(spark, rows):
+    texts = [(7, f"row {i} of the same id") for i in range(300)]
+    texts += [(100 + i, f"text number {i}") for i in range(600)]
+    table = rows(texts, "doc_id long, text string")
+    labels = rows([(7, 1, 1), *[(100 + i, i % 2, i % 2) for i in range(100)]], "doc_id long, toxic int, quality int")
+    sample = toxicity.labelled_sample(table, labels).collect()
+    assert len(sample) == 101 and sum(r.text.startswith("row") for r in sample) == 1
+    again = toxicity.labelled_sample(table.repartition(7), labels).collect()
+    assert sorted(again) == sorted(sample)
+    measured = table.withColumns(quality.features(F.col("text")))
+    assert quality.fit(measured, labels) is not None

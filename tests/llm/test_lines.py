@@ -3,6 +3,8 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from martloom.llm import lines
 
 
@@ -53,3 +55,16 @@ def test_odd_rows(docs):
 def test_positions_not_texts_are_exploded(docs):
     plan = lines.without_common_lines(docs((1, "a"))).select("doc_id", "kept_text")
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_columns_of_any_name_stay(docs):
+    """With a third of all rows alike."""
+    data = [(i % 3 or i, "the same\nline" if i % 3 else f"line {i}\nthe same") for i in range(60)]
+    table = docs(*data)
+    names = ("k1", "K2", "dropped", "places", "split", "_k1", "hashes", "a.b")
+    table = table.withColumns({c: F.lit(c) for c in names})
+    got = lines.without_common_lines(table)
+    assert got.columns == [*table.columns, "n_lines", "n_dropped", "kept_text"]
+    rows = got.collect()
+    assert len(rows) == 60 and all(r[c] == c for r in rows for c in names)
+    assert {r.kept_text for r in rows} == {"", *[f"line {i}" for i in range(0, 60, 3)]}

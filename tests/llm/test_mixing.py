@@ -79,3 +79,13 @@ def test_odd_rows(docs):
     assert len(got) == 5
     assert got[got.source == "s"].times.nunique() == 1
     assert mixing.mixed_sizes(docs()).count() == 0 and mixing.mixed(docs()).count() == 0
+
+
+def test_columns_of_any_name_stay(docs):
+    table = docs(*[(i, "a few words", None, f"s{i % 3}") for i in range(90)])
+    names = ("threshold", "repeats", "of", "_hash", "hashed", "again", "target", "a.b")
+    table = table.withColumns({c: F.lit(c) for c in names})
+    got = mixing.mixed(table)
+    assert got.columns == table.columns
+    rows = got.collect()
+    assert len(rows) > 90 and all(r[c] == c for r in rows for c in names)

@@ -27,7 +27,7 @@ def plain_sketch(text):
         tuple_ = np.zeros(1, np.uint64)
         for value, _ in least:
             tuple_ = omh.mixed(tuple_ * omh.MULTIPLIER + np.uint64(value))
-        out[number] = max(1, int(tuple_[0]) >> 48)
+        out[number] = max(1, int(tuple_[0]) >> 32)
     return out
 
 

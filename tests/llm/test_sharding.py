@@ -70,3 +70,13 @@ def test_odd_rows(docs):
     kept = sharding.with_shards(table.withColumnRenamed("extra", "shard"), 3)
     assert kept.count() == 5 and kept.columns.count("shard") == 1
     assert sharding.shard_positions(docs(), 3).count() == 0
+
+
+def test_a_third_of_all_rows_alike_keeps_the_law(docs):
+    rows = [(7, "the very same row")] * 400 + [(1000 + i, f"another row {i}") for i in range(800)]
+    got = sharding.shard_positions(docs(*rows), 16).toPandas()
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(got) == 1200 and len(sizes) == 16
+    assert sizes.max() - sizes.min() <= max(got.groupby("virtual_slot")["size"].sum())
+    assert sizes.max() < 1.1 * sizes.mean()
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
