@@ -122,14 +122,16 @@ def ingest_reviews(spark, sf_dir):
 
 
 def ingest_geolocations(spark, sf_dir):
-    """One row per point, the first in the file; points as text with and without a last zero."""
-    places = S.geolocations(spark, sf_dir).where("geolocation_lat IS NOT NULL").withColumns(
+    """One row per point, the first in the file; points as text with and without a last zero, a
+    missing latitude like any other."""
+    shown = F.concat(
+        F.format_string("%.2f", "geolocation_lat"),
+        F.when(F.col("geolocation_city") > "F", "0").otherwise(""),
+    )
+    places = S.geolocations(spark, sf_dir).withColumns(
         {
             "geolocation_state": F.coalesce("geolocation_state", F.lit("none")),
-            "_text": F.concat(
-                F.format_string("%.2f", "geolocation_lat"),
-                F.when(F.col("geolocation_city") > "F", "0").otherwise(""),
-            ),
+            "_text": F.when(F.col("geolocation_lat").isNotNull(), shown),
         }
     )
     order = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]
@@ -349,7 +351,7 @@ CHECKS = {
             FROM (SELECT *, row_number() OVER (
                       PARTITION BY geolocation_lat, geolocation_lng
                       ORDER BY geolocation_zip_code_prefix, geolocation_city) AS rn
-                  FROM geolocations WHERE geolocation_lat IS NOT NULL) WHERE rn = 1""",
+                  FROM geolocations) WHERE rn = 1""",
             "geolocations",
         ),
     ),
