@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import standins as S
-from checks.load_queries import USER_VALUES, _user_changes
+from checks.load_queries import _LAST_STATE, USER_VALUES, _user_changes
 from checks.quality_queries import CHECKS as QUALITY_CHECKS
 from checks.quality_queries import ITEMS
 from checks.standins import table, with_tables
@@ -17,7 +17,9 @@ from martloom.shared import fresh_path
 from martloom.sinks.loads import checked_load as load_and_check
 from martloom.sinks.staging import StagingTable
 from martloom.streaming.state import stream_apply_newest, window_totals
-from martloom.streaming.upsert import stream_changes
+from martloom.sources.change_log import read_change_log
+from martloom.sources.changes import SEQ_FIELD
+from martloom.streaming.upsert import stream_apply_changes, stream_changes
 
 PAGE_ROWS = 4
 YEARS_AHEAD = 26  # brings the orders into the time of the events
@@ -118,6 +120,18 @@ def stream_changes_stateful(spark, sf_dir):
     return target.current(spark)
 
 
+def stream_change_log(spark, sf_dir):
+    """Changes that arrive in four parts, each taken up by a restarted query at its offset."""
+    changes = S.changes(spark, sf_dir).select("op", "seq", "user_id", "ts", "value")
+    folder, checkpoint = fresh_path(spark, "arriving"), fresh_path(spark, "checkpoint")
+    target = StagingTable.of_changes(fresh_path(spark, "staging"), USER_VALUES, SEQ_FIELD)
+    for part in range(4):
+        changes.where(F.col("seq") % 4 == part).write.parquet(f"{folder}/{part:05d}")
+        stream = read_change_log(spark, folder, USER_VALUES)
+        stream_apply_changes(stream, target, checkpoint, available_now=True).awaitTermination()
+    return target.current(spark)
+
+
 def event_windows(spark, sf_dir):
     """Totals by day and kind of event. The events come in five parts by day, every seventh event two
     parts late; what comes after the watermark is dropped."""
@@ -271,5 +285,8 @@ CHECKS = {
             "changes",
         ),
     ),
+    "stream_change_log": (
+        stream_change_log, with_tables(_LAST_STATE + " AND op <> 'delete'", "changes")
+    ),
     "event_windows": (event_windows, _EVENT_WINDOWS),
 }

@@ -11,6 +11,7 @@ from martloom.operators.quality import check_table
 from martloom.plans.reports import running_total, sales_rollup
 from martloom.sinks.loads import checked_load
 from martloom.sinks.staging import StagingTable
+from martloom.sources.change_log import ChangeLogReader, read_change_log
 from martloom.sources.changes import change_schema
 from martloom.specs import INT, TEXT, Reference, TableSpec
 from martloom.streaming.state import newest_changes, stream_apply_newest, window_totals
@@ -232,3 +233,54 @@ def test_windows_drop_late_rows(spark, rows, tmp_path):
     assert found(spark.read.parquet(out)) == [
         (at(0), at(24), "a", 7), (at(24), at(48), "b", 5),
     ]
+
+
+# --- change files as a data source -----------------------------------------------------------
+
+
+def test_change_log_goes_on_at_its_offset(spark, tmp_path):
+    schema, folder = change_schema(SPEC), tmp_path / "in"
+    out = str(tmp_path / "out")
+
+    def run():
+        query = (
+            read_change_log(spark, f"file:{folder}", SPEC).writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    def arrive(name, data, columns=None):
+        df = spark.createDataFrame(data, schema)
+        (df.select(*columns) if columns else df).coalesce(1).write.parquet(str(folder / name))
+
+    arrive("00", [("create", 1, "a", 1), ("create", 2, "b", 2)])
+    assert run() == 2
+    arrive("01", [("delete", 3, "a", None)], ["op", "seq", "k"])  # key only
+    arrive("02", [("update", 4, "b", 5), ("update", 5, "b", 6), ("update", 6, "b", 7)])
+    assert run() == 4
+    assert run() == 0
+    assert found(spark.read.parquet(out)) == [
+        ("create", 1, "a", 1), ("create", 2, "b", 2), ("delete", 3, "a", None),
+        ("update", 4, "b", 5), ("update", 5, "b", 6), ("update", 6, "b", 7),
+    ]
+
+
+def test_change_log_takes_so_many_files_at_a_time(tmp_path):
+    for n in range(7):
+        (tmp_path / f"{n:03d}").mkdir()
+        (tmp_path / f"{n:03d}" / "part-0.parquet").write_bytes(b"")
+        (tmp_path / f"{n:03d}" / "_SUCCESS").write_bytes(b"")
+    reader = ChangeLogReader(str(tmp_path), change_schema(SPEC), 3)
+    start, taken = reader.initialOffset(), []
+    for _ in range(3):
+        end = reader.latestOffset()
+        taken.append([p.name for p in reader.partitions(start, end)])
+        start = end
+    assert [len(t) for t in taken] == [3, 3, 1]
+    assert sorted(sum(taken, [])) == [f"{n:03d}/part-0.parquet" for n in range(7)]
+    again = ChangeLogReader(str(tmp_path), change_schema(SPEC), 3)  # as after a restart
+    end = again.latestOffset()
+    assert [p.name for p in again.partitions({"last": "004/part-0.parquet"}, end)] == [
+        "005/part-0.parquet", "006/part-0.parquet",
+    ]
