@@ -226,8 +226,8 @@ def _arriving(df, name):
     """Change files as they would arrive, `<folder>/<name>`, some for each micro-batch, and the bytes
     that a micro-batch takes."""
     folder = fresh_path(df.sparkSession, "arriving")
-    files = max(2 * MICRO_BATCHES, df.rdd.getNumPartitions())
-    df.repartition(files).write.parquet(f"{folder}/{name}")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(max(2 * MICRO_BATCHES, tasks)).write.parquet(f"{folder}/{name}")
     written_bytes = input_bytes(df.sparkSession.read.parquet(f"{folder}/{name}"))
     return folder, max(1, written_bytes // MICRO_BATCHES)
 
