@@ -2,12 +2,19 @@
 
 The pages of a host are merged into one tree of styles: elements under the same path of tags, classes
 and ids fall together (digits in names don't count). For each node the tree knows how its children's
-styles vary over the host's pages, and how its text does. Both entropies, relative to the largest
-that so many pages could show, make its importance: what is the same on every page is low, what
-differs from page to page is high. Elements whose tag, class, id or role says that they are menus,
-adverts and the like have no importance at all, and those inside the page's own article have all.
-A branch whose nodes are all of low importance goes; a page never loses its whole text to entropy
-alone.
+styles vary over the host's pages, and how the text of its whole branch does. Both entropies,
+relative to that of the pages' texts as a whole, make its importance: a branch that stays the same
+though the pages differ is low and goes, inside articles too. Copies of a page differ in nothing and
+so say nothing. What tags, classes, ids and roles tell is a prior:
+
+* what can only be menus, adverts, comments and the like has no importance;
+* a branch whose name or tag may as well be a wrapper's (`sidebar`, `widget`, `form`), and one beside
+  an article, is in doubt: it stays if over the host's pages it holds enough of the text;
+* articles, what holds them, and plain paragraphs and headings in them are never low; other branches
+  in articles must be lower than elsewhere to go.
+
+Branches in doubt on few pages are judged by their page alone. A page never loses its whole text to
+entropy.
 
 Yi, Liu and Li, "Eliminating noisy information in web pages for data mining" (2003).
 """
@@ -21,16 +28,25 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.tables import unused
 from martloom.shared import written
 
 #: A node's importance is this part content and the rest style.
 CONTENT_PART = 0.9
 LOW = 0.2
-#: On fewer pages than this, entropy says nothing.
+#: A branch of an article goes below this.
+LOW_IN_ARTICLE = 0.1
+#: On fewer pages than this, a branch is not judged by its host; copies count once for entropy.
 MIN_PAGES = 4
+#: So many like containers beside each other are nodes of their own in the tree.
+TOLD_APART = 8
+#: A branch beside an article stays from this part of the article's text on.
+BESIDE = 1 / 4
+#: A wrapper holds this part of the pages' text, or this part of their articles.
+WRAPS_TEXT, WRAPS_ARTICLE = 3 / 4, 1 / 2
 
 # HTML elements by their role in this module.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -43,20 +59,23 @@ INLINE = frozenset(
     " rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 ARTICLES = frozenset(("article", "main"))
-NOISE_TAGS = frozenset(
-    "nav footer aside form button dialog menu fieldset head input option".split()
-)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption legend summary figcaption".split())
+PLAIN = HEADINGS | frozenset("p ul ol li dl dd table thead tbody tr td blockquote pre figure".split())
+CONTAINERS = frozenset("div section ul ol dl table form fieldset".split())
+NOISE_TAGS = frozenset("nav footer aside button dialog menu head input option".split())
+DOUBTFUL_TAGS = frozenset(("form", "fieldset"))
 NOISE_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alert alertdialog menu"
-    " menubar".split()
+    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split()
 )
 NOISE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo"
-    " promotion banner banners cookie cookies consent gdpr notice notices alert popup modal"
-    " overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside"
-    " footer masthead comment comments respond replies disqus share sharing social related"
-    " recommended recommendations newsletter subscribe subscription signup login search"
-    " pagination pager widget widgets hidden".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors cookie"
+    " cookies consent gdpr comment comments respond replies disqus footer".split()
+)
+DOUBTFUL_NAMES = frozenset(
+    "promo promotion banner banners notice notices alert popup modal overlay nav navbar navigation"
+    " menu menus breadcrumb breadcrumbs sidebar sidebars aside masthead share sharing social related"
+    " recommended recommendations newsletter subscribe subscription signup login search pagination"
+    " pager widget widgets hidden".split()
 )
 #: A start tag closes open elements of these kinds first.
 CLOSES = {
@@ -76,6 +95,8 @@ _UNREAD_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in UNRE
 _NAMES = re.compile(r"[a-z]+")
 #: 'has-sidebar' and 'no-comments' tell about the page, not about the element.
 QUALIFIERS = frozenset("has no with without".split())
+#: 'sidebar-layout' is the page's layout.
+WRAPPERS = frozenset("layout page template".split())
 
 
 @dataclass
@@ -85,7 +106,11 @@ class Page:
     tags: list[str] = field(default_factory=lambda: ["#page"])
     parents: list[int] = field(default_factory=lambda: [-1])
     labels: list[str] = field(default_factory=lambda: ["#page"])
+    #: noise by its prior, or in such an element
     noise: list[bool] = field(default_factory=lambda: [False])
+    #: by its name either noise or a wrapper
+    doubtful: list[bool] = field(default_factory=lambda: [False])
+    #: an article, or in one
     article: list[bool] = field(default_factory=lambda: [False])
     #: (element, text), or (element, None) where a block begins or ends
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
@@ -95,18 +120,21 @@ def _telling(classes: str) -> set[str]:
     """The words of class names and ids, up to a qualifier in each."""
     out: set[str] = set()
     for name in classes.split():
-        for word in _NAMES.findall(name):
+        words = _NAMES.findall(name)
+        if not words or words[-1] in WRAPPERS:
+            continue
+        for word in words:
             if word in QUALIFIERS:
                 break
             out.add(word)
     return out
 
 
-def _described(tag: str, raw: str) -> tuple[str, bool, bool]:
-    """The element's label in the style tree, whether its tag, role or style says that it is noise,
-    and whether its class or id does."""
+def _described(tag: str, raw: str) -> tuple[str, bool, bool, bool]:
+    """The element's label in the style tree; whether it is noise, in doubt, an article."""
+    noise, doubtful, article = tag in NOISE_TAGS, tag in DOUBTFUL_TAGS, tag in ARTICLES
     if not raw or raw.isspace():
-        return tag, tag in NOISE_TAGS, False
+        return tag, noise, doubtful, article
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
     classes = f"{given.get('class', '')} {given.get('id', '')}".lower()
     names, telling = _NAMES.findall(classes), _telling(classes)
@@ -116,39 +144,28 @@ def _described(tag: str, raw: str) -> tuple[str, bool, bool]:
         or given.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", "").lower())
     )
-    named = not NOISE_NAMES.isdisjoint(telling)
-    if tag in ARTICLES or tag == "body" or tag == "html" or role == "main":
-        named = not {"comment", "comments"}.isdisjoint(telling)
     label = ".".join([tag, *names, *([role] if role else [])])
-    return label, bool(tag in NOISE_TAGS or role in NOISE_ROLES or hidden), named
-
+    noise = bool(noise or role in NOISE_ROLES or hidden)
+    if tag not in INLINE and (role == "main" or given.get("id", "").lower() == "main"):
+        article = True
+    if article:
+        noise = noise or not telling.isdisjoint(("comment", "comments"))
+    elif tag not in ("html", "body"):
+        noise = noise or not telling.isdisjoint(NOISE_NAMES)
+        doubtful = doubtful or role == "form" or not telling.isdisjoint(DOUBTFUL_NAMES)
+    return label, noise, doubtful, article and not noise
 
-def _heads_the_page(tag: str, label: str, in_article: bool) -> bool:
-    """A header outside an article is the site's, inside it holds the article's title."""
-    return not in_article and (tag == "header" or label == f"{tag}.header")
 
-
-def _spread_noise(page: Page, named: list[bool]) -> None:
-    """Noise passes to what is inside it. A class or id alone makes no noise of an element that
-    holds an article, or more than half of the page's text."""
-    size, holds = [0] * len(page.tags), [False] * len(page.tags)
-    for node, text in page.pieces:
-        if text:
-            size[node] += sum(map(len, text.split()))
-    for node in range(len(page.tags) - 1, 0, -1):
-        parent = page.parents[node]
-        size[parent] += size[node]
-        holds[parent] |= holds[node] or (page.article[node] and not page.article[parent])
-    for node in range(1, len(page.tags)):
-        by_name = named[node] and not (holds[node] or 2 * size[node] > size[0])
-        page.noise[node] = page.noise[node] or by_name or page.noise[page.parents[node]]
+def _heads_the_page(tag: str, label: str) -> bool:
+    """Outside an article, such a header is the site's."""
+    return tag == "header" or label == f"{tag}.header"
 
 
 def parsed(html: str | None) -> Page:
     """A lenient reading: unclosed, misplaced and cut-off tags are taken as browsers would."""
     page = Page()
     text = html or ""
-    stack, at, by_name = [0], 0, [False]
+    stack, at = [0], 0
 
     def close_to(depth: int) -> None:
         for node in reversed(stack[depth:]):
@@ -190,19 +207,16 @@ def parsed(html: str | None) -> Page:
             end = _UNREAD_END[tag].search(text, at)
             at = end.end() if end else len(text)
             continue
-        label, noise, named = _described(tag, found[3])
+        label, noise, doubtful, article = _described(tag, found[3])
         parent = stack[-1]
-        noise = noise or _heads_the_page(tag, label, page.article[parent])
         node = len(page.tags)
         page.tags.append(tag)
         page.parents.append(parent)
         page.labels.append(label)
-        page.noise.append(noise)
-        by_name.append(named)
-        page.article.append(
-            page.article[parent]
-            or (tag in ARTICLES or label.endswith(".main")) and not (noise or named)
-        )
+        noise = noise or not page.article[parent] and _heads_the_page(tag, label)
+        page.noise.append(noise or page.noise[parent])
+        page.doubtful.append(doubtful)
+        page.article.append(page.article[parent] or article)
         if tag not in INLINE:
             page.pieces.append((parent, None))
         if tag not in VOID and not found[3].rstrip().endswith("/"):
@@ -210,51 +224,153 @@ def parsed(html: str | None) -> Page:
         elif tag not in INLINE:
             page.pieces.append((parent, None))
     close_to(1)
-    _spread_noise(page, by_name)
     return page
 
 
 def style_paths(page: Page) -> list[int]:
-    """A 63-bit key of each element's path of labels."""
+    """A 63-bit key of each element's path of labels. Like containers beside each other are told
+    apart: the last, the first ones by their place, and the rest as one."""
+    last: dict[tuple[int, str], int] = {}
+    for node, (parent, label) in enumerate(zip(page.parents, page.labels)):
+        if page.tags[node] in CONTAINERS:
+            last[parent, label] = node
+    seen: dict[tuple[int, str], int] = {}
     keys = [0]
-    for parent, label in zip(page.parents[1:], page.labels[1:]):
-        keys.append(xxhash.xxh3_64_intdigest(f"{keys[parent]}/{label}") >> 1)
+    for node in range(1, len(page.tags)):
+        like = page.parents[node], page.labels[node]
+        name = like[1]
+        if page.tags[node] in CONTAINERS:
+            at = seen[like] = seen.get(like, -1) + 1
+            name += "#last" if node == last[like] else f"#{min(at, TOLD_APART)}"
+        keys.append(xxhash.xxh3_64_intdigest(f"{keys[like[0]]}/{name}") >> 1)
     return keys
 
 
-def style_nodes(page: Page) -> list[tuple[int, int, int | None]]:
-    """(path, hash of the child styles, hash of the own text if any) for each path of the page
-    that isn't noise by name or inside an article."""
+@dataclass
+class Branches:
+    """What the branches of a page hold outside noise, and which of them are in doubt."""
+
+    #: hash of the branch's text, 0 without text
+    content: list[int]
+    #: for elements in doubt: (what it and those like it beside it hold, what they need to stay)
+    claims: dict[int, tuple[float, float]]
+    #: has an article inside and is in none
+    holds: list[bool]
+
+
+def branches(page: Page) -> Branches:
+    count = len(page.tags)
+    content, size, told, holds = [0] * count, [0] * count, [0] * count, [False] * count
+    for node, text in page.pieces:
+        if text and not page.noise[node] and (words := text.split()):
+            content[node] = xxhash.xxh3_64_intdigest(f"{content[node]} {' '.join(words)}") >> 1
+            here = sum(map(len, words))
+            size[node] += here
+            told[node] += here if page.article[node] else 0
+    for node in range(count - 1, 0, -1):
+        if page.noise[node]:
+            continue
+        parent = page.parents[node]
+        size[parent] += size[node]
+        told[parent] += told[node]
+        holds[parent] |= holds[node] or page.article[node] and not page.article[parent]
+        if content[node]:
+            content[parent] = xxhash.xxh3_64_intdigest(f"{content[parent]}+{content[node]}") >> 1
+    doubts: dict[tuple, list[int]] = {}
+    for node in range(1, count):
+        parent = page.parents[node]
+        if page.noise[node] or not size[node]:
+            continue
+        beside = (
+            holds[parent]
+            and not (holds[node] or page.article[node])
+            and page.tags[node] not in INLINE
+        )
+        if page.doubtful[node] or beside:
+            like = parent, page.labels[node], holds[node], page.doubtful[node]
+            doubts.setdefault(like, []).append(node)
+    claims: dict[int, tuple[float, float]] = {}
+    for (_, _, with_article, named), nodes in doubts.items():
+        if with_article:
+            claim = sum(told[n] for n in nodes), WRAPS_ARTICLE * told[0]
+        else:
+            needed = WRAPS_TEXT * size[0] if named else BESIDE * told[0]
+            claim = sum(size[n] for n in nodes), needed
+        claims.update(dict.fromkeys(nodes, claim))
+    return Branches(content, claims, holds)
+
+
+def _may_be_low(page: Page, inside: Branches, node: int) -> bool:
+    """Whether entropy may speak against the element: not what holds an article or is its root, and
+    no part of a sentence, bare heading or, in articles, bare block."""
+    tag, parent = page.tags[node], page.parents[node]
+    if page.noise[node] or inside.holds[node] or tag in ("html", "body"):
+        return False
+    bare = page.labels[node] == tag
+    if page.article[node]:
+        return page.article[parent] and tag not in INLINE and not (bare and tag in PLAIN)
+    on_top = page.tags[parent] in ("#page", "html", "body")
+    return on_top or tag not in INLINE and not (bare and tag in HEADINGS)
+
+
+def style_nodes(page: Page, inside: Branches) -> list[tuple]:
+    """(path, hash of the child styles, hash of the branch's text, whether entropy may speak against
+    it, whether it is in an article, what it claims and what it needs if in doubt) for each path
+    that is not noise and holds text. Elements of one path are one node."""
     keys = style_paths(page)
-    children: dict[int, list[str]] = {}
-    texts: dict[int, list[str]] = {}
+    styles: dict[int, list[str]] = {}
     for node in range(1, len(keys)):
-        if not (page.noise[node] or page.article[node]):
-            children.setdefault(keys[node], [])
-            parent = page.parents[node]
-            siblings = children.setdefault(keys[parent], [])
+        if not page.noise[node]:
+            siblings = styles.setdefault(keys[page.parents[node]], [])
             if not siblings or siblings[-1] != page.labels[node]:
                 siblings.append(page.labels[node])
-    for node, text in page.pieces:
-        if text and not (page.noise[node] or page.article[node] or text.isspace()):
-            children.setdefault(keys[node], [])
-            texts.setdefault(keys[node], []).extend(text.split())
+    texts: dict[int, list[int]] = {}
+    judged: dict[int, bool] = {}
+    in_article: dict[int, bool] = {}
+    claims: dict[int, tuple[float, float]] = {}
+    for node in range(1, len(keys)):
+        if not inside.content[node] or page.noise[node]:
+            continue
+        key = keys[node]
+        texts.setdefault(key, []).append(inside.content[node])
+        judged[key] = judged.get(key, True) and _may_be_low(page, inside, node)
+        in_article[key] = page.article[node]
+        if node in inside.claims:
+            claims[key] = max(claims.get(key, (-1.0, 0.0)), inside.claims[node])
 
-    def digest(parts):
-        return xxhash.xxh3_64_intdigest(" ".join(parts)) >> 1
+    def digest(parts) -> int:
+        return xxhash.xxh3_64_intdigest(" ".join(map(str, parts))) >> 1
 
     return [
-        (key, digest(styles), digest(texts[key]) if key in texts else None)
-        for key, styles in children.items()
+        (key, digest(styles.get(key, ())), digest(texts[key]), judged[key], in_article[key],
+         *claims.get(key, (None, None)))
+        for key in texts
+        if judged[key] or key in claims
     ]
 
 
-def main_text(page: Page, low: frozenset[int] | set[int]) -> str:
-    """Blocks of the page's own article, or of the branches that are neither noise nor low."""
-    keys = style_paths(page) if low else [0] * len(page.tags)
-    inside = any(page.article)
+@dataclass(frozen=True)
+class Verdicts:
+    """Paths of a host that are low, and paths in doubt that stay or go on all its pages."""
+
+    low: frozenset[int] = frozenset()
+    stay: frozenset[int] = frozenset()
+    go: frozenset[int] = frozenset()
 
-    def blocks(dropped) -> list[str]:
+
+def main_text(page: Page, of: Verdicts = Verdicts()) -> str:
+    """Blocks of the branches that are not noise, low or dropped in doubt."""
+    keys, inside = style_paths(page), branches(page)
+
+    def blocks(low: frozenset[int]) -> list[str]:
+        gone = [False] * len(keys)
+        for node in range(1, len(keys)):
+            key = keys[node]
+            gone[node] = gone[page.parents[node]] or page.noise[node]
+            if not gone[node] and node in inside.claims and key not in of.stay:
+                gone[node] = key in of.go or inside.claims[node][0] < inside.claims[node][1]
+            if not gone[node] and key in low:
+                gone[node] = _may_be_low(page, inside, node)
         out: list[str] = []
         block: list[str] = []
         for node, text in page.pieces:
@@ -262,90 +378,105 @@ def main_text(page: Page, low: frozenset[int] | set[int]) -> str:
                 if block and (line := " ".join("".join(block).split())):
                     out.append(line)
                 block = []
-            elif not page.noise[node] and page.article[node] >= inside:
-                if page.article[node] or keys[node] not in dropped:
-                    block.append(text)
+            elif not gone[node]:
+                block.append(text)
         if block and (line := " ".join("".join(block).split())):
             out.append(line)
         return out
 
-    return "\n".join(blocks(low) or blocks(()))
+    return "\n".join(blocks(of.low) or blocks(frozenset()))
+
+
+_NODE = (
+    "host string, whole long, path long, style long, content long, judged boolean,"
+    " in_article boolean, held double, needed double"
+)
+
+
+def _entropy(kind: str) -> Column:
+    """Of the variants of one kind, in nats."""
+    times = F.when(F.col("kind") == kind, F.col("count"))
+    n = F.sum(times)
+    return F.greatest(F.log(n) - F.sum(times * F.log(times)) / n, F.lit(0.0))
 
 
-def low_branches(
-    pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES
-) -> DataFrame:
-    """(host, path): the text-bearing nodes of each host's style tree that are of low importance.
+def verdicts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, path, verdict) of the style tree of each host of `pages(host, html)`: `low` by entropy,
+    and `stay` or `go` for branches in doubt on at least `min_pages` pages.
 
-    `pages(host, html)` are merged by counting equal variants of each node, first in every task.
+    Equal variants of a node are counted, first in every task. The entropies of a node's texts and
+    child styles are relative to that of the texts of all the pages it is on, which must be that of
+    `min_pages` different pages at least.
     """
 
     def nodes(batches):
         for batch in batches:
-            rows = [
-                (host, *node)
-                for host, text in zip(batch["host"], batch["html"])
-                for node in style_nodes(parsed(text))
-            ]
-            made = pd.DataFrame(rows, columns=["host", "path", "style", "content"])
-            made["content"] = made["content"].astype("Int64")
-            yield made
-
-    found = pages.select("host", "html").mapInPandas(
-        nodes, "host string, path long, style long, content long"
-    )
-    variants = (
-        found.select(
-            "host", "path",
-            F.explode(F.array(
-                F.struct(F.lit("style").alias("kind"), F.col("style").alias("variant")),
-                F.struct(F.lit("content").alias("kind"), F.col("content").alias("variant")),
-            )).alias("v"),
-        )
-        .where("v.variant IS NOT NULL")
+            rows = []
+            for host, text in zip(batch["host"], batch["html"]):
+                page = parsed(text)
+                inside = branches(page)
+                rows += [(host, inside.content[0], *node) for node in style_nodes(page, inside)]
+            names = [c.split()[0] for c in _NODE.split(", ")]
+            yield pd.DataFrame(rows, columns=names)
+
+    found = pages.select("host", "html").mapInPandas(nodes, _NODE)
+    kinds = [
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("variant"))
+        for kind in ("style", "content", "whole")
+    ]
+    first = F.col("kind") == "whole"
+    counted = (
+        found.select("host", "path", "judged", "in_article", "held", "needed",
+                     F.explode(F.array(*kinds)).alias("v"))
         .groupBy("host", "path", "v.kind", "v.variant")
-        .count()
-    )
-    n = F.sum("count")
-    spread = F.log(n) - F.sum(F.col("count") * F.log("count")) / n
-    entropies = variants.groupBy("host", "path", "kind").agg(
-        n.alias("pages"), F.when(n > 1, spread / F.log(n)).otherwise(1.0).alias("entropy")
+        .agg(
+            F.count("*").alias("count"), F.count("needed").alias("doubts"),
+            F.bool_and("judged").alias("judged"), F.bool_or("in_article").alias("in_article"),
+            F.sum("held").alias("held"), F.sum("needed").alias("needed"),
+        )
     )
-    by_kind = entropies.groupBy("host", "path").agg(
-        F.max(F.when(F.col("kind") == "content", F.col("pages"))).alias("pages"),
-        F.max(F.when(F.col("kind") == "content", F.col("entropy"))).alias("content"),
-        F.max(F.when(F.col("kind") == "style", F.col("entropy"))).alias("style"),
+    tree = counted.groupBy("host", "path").agg(
+        *[_entropy(kind).alias(kind) for kind in ("style", "content", "whole")],
+        F.bool_and("judged").alias("judged"), F.bool_or("in_article").alias("in_article"),
+        *[F.sum(F.when(first, F.col(c))).alias(c) for c in ("doubts", "held", "needed")],
     )
-    importance = CONTENT_PART * F.col("content") + (1 - CONTENT_PART) * F.col("style")
-    return by_kind.where((F.col("pages") >= min_pages) & (importance < low)).select("host", "path")
+    part = CONTENT_PART * F.col("content") + (1 - CONTENT_PART) * F.col("style")
+    bound = F.when(F.col("in_article"), LOW_IN_ARTICLE).otherwise(LOW)
+    # a hair of slack for sums of logarithms
+    low = F.col("judged") & (F.exp("whole") > min_pages - 1e-9) & (part < bound * F.col("whole"))
+    doubt = F.when(F.col("held") >= F.col("needed"), "stay").otherwise("go")
+    both = F.array(F.when(low, F.lit("low")), F.when(F.col("doubts") >= min_pages, doubt))
+    return tree.select("host", "path", F.explode(F.array_compact(both)).alias("verdict"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """`pages(page_id, url, html, ...)` with columns text and n_chars (which replace columns of
-    those names), one row per row.
+    those names), one row per row; other columns may have any name.
 
     The host is that of the url; pages without a readable one share the host ''. NULL or empty html
     gives an empty text. Repeated rows give equal texts. An empty table gives no rows.
     """
     names = [f for f in pages.schema if f.name not in ("text", "n_chars")]
+    host, of, low, stay, go = unused(pages, "host", "of", "low", "stay", "go")
     hosted = pages.select(
         *[F.col(f"`{f.name}`") for f in names],
-        F.coalesce(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit("")).alias("_host"),
-    )
-    low = written(
-        low_branches(hosted.select(F.col("_host").alias("host"), "html")), "low-branches"
+        F.coalesce(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit("")).alias(host),
     )
+    judged = written(verdicts(hosted.select(F.col(host).alias("host"), "html")), "style-verdicts")
     # a host's template has few such branches; written first, so that their size is known
-    by_host = low.groupBy(F.col("host").alias("_of")).agg(F.collect_set("path").alias("_low"))
-    joined = hosted.join(by_host, F.col("_host") == F.col("_of"), "left").drop("_host", "_of")
+    by_host = judged.groupBy(F.col("host").alias(of)).agg(
+        *[F.collect_set(F.when(F.col("verdict") == v, F.col("path"))).alias(name)
+          for v, name in (("low", low), ("stay", stay), ("go", go))]
+    )
+    joined = hosted.join(by_host, F.col(f"`{host}`") == F.col(f"`{of}`"), "left").drop(host, of)
     kept = [f.name for f in names]
 
     def texts(batches):
         for batch in batches:
             out = batch[kept].copy()
             out["text"] = [
-                main_text(parsed(text), set() if low is None else set(low))
-                for text, low in zip(batch["html"], batch["_low"])
+                main_text(parsed(text), Verdicts(*(frozenset(() if s is None else s) for s in sets)))
+                for text, *sets in zip(batch["html"], batch[low], batch[stay], batch[go])
             ]
             out["n_chars"] = out["text"].map(len).astype(np.int64)
             yield out
