@@ -32,14 +32,11 @@ TEXT = st.lists(st.sampled_from(["a", "ab", "b", "Ä", "é1", "xy", "-"]), max_s
 @given(TEXT, st.lists(TEXT, min_size=1, max_size=4), st.integers(1, 4))
 def test_search_equals_comparing_everywhere(text, items, size):
     items = list(enumerate(items))
-    owners = {}
-    for item_id, item in items:
-        for window in wumanber.windows_of(wumanber.words_of(item), size):
-            owners.setdefault(window, set()).add(str(item_id))
+    passages = wumanber.Passages(((str(k), item) for k, item in items), size)
     joined = b" " + b" ".join(wumanber.words_of(text)) + b" "
-    found = list(wumanber.hits(joined, wumanber.searchers(owners)))
+    found = list(passages.hits(joined))
     spans = wumanber.merged((s, e) for s, e, _ in found)
-    ids = sorted(set().union(*[owners[p] for *_, p in found])) if found else []
+    ids = sorted(set().union(*[owners for *_, owners in found])) if found else []
     expected = plain_hits(text, items, size)
     assert (len(wumanber.words_of(text)), sum(e - s for s, e in spans), ids) == expected
 
@@ -76,3 +73,28 @@ def test_empty_tables_and_clashing_names(docs, rows):
     clash = docs((1, "a b c d e")).withColumnRenamed("extra", "spans")
     items = rows([("x", "b c", 1)], "item_id string, text string, spans int")
     assert wumanber.find_passages(clash, items).first().spans[0].asDict() == {"start": 1, "end": 3}
+
+
+def test_tables_stay_below_twenty_bytes_a_byte():
+    import pickle
+    import random
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(1, 12))) for _ in range(5000)]
+    items = [(str(k), " ".join(rnd.choices(words, k=120))) for k in range(1000)]
+    passages = wumanber.Passages(items, 10)
+    size = sum(len(text) for _, text in items)
+    assert len(pickle.dumps(passages)) < 20 * size
+    joined = b" x " + b" ".join(wumanber.words_of(items[700][1])[5:40]) + b" "
+    found = list(passages.hits(joined))
+    assert wumanber.merged((s, e) for s, e, _ in found) == [(1, 36)]
+    assert {"700"} == set().union(*[ids for *_, ids in found]) and len(found) == 26
+
+
+def test_many_copies_of_an_item(docs, rows):
+    """A third of the items are one text: it is searched once."""
+    items = rows(
+        [(k, "one two three four") for k in range(300)] + [(300 + k, f"w{k} two three") for k in range(600)],
+        "item_id long, text string",
+    )
+    check(docs((1, "zero one two three four five " * 50), (2, "w7 two three w8 two")), items, 3)
