@@ -148,3 +148,69 @@ def test_one_id_in_a_third_of_all_rows_is_one_row_of_the_sample(spark, rows):
     assert sorted(again) == sorted(sample)
     measured = table.withColumns(quality.features(F.col("text")))
     assert quality.fit(measured, labels) is not None
+
+
+def test_noisy_or_of_given_weights():
+    """A document's score by the definition, sentence by sentence."""
+    random = np.random.default_rng(8)
+    model = toxicity.Model(random.normal(0, 0.3, 1 << toxicity.BITS).astype(np.float32), -2.0)
+    text = "One plain sentence.\nAnother, longer one! And a third?\n...\nthe end"
+    starts, scores = toxicity.sentence_scores(text, model)
+    clean = 1.0
+    for score in scores:
+        clean *= 1 - score
+    assert len(scores) == len(starts) > 1
+    assert toxicity.noisy_or(scores) == pytest.approx(1 - clean)
+
+
+def test_shares_are_the_steps_of_the_definition():
+    random = np.random.default_rng(9)
+    chance = random.dirichlet(np.ones(12), 3).T
+    counts = random.integers(0, 9, 12).astype(float)
+    pi = [1 / 3] * 3
+    for _ in range(5):
+        new = [0.0] * 3
+        for n, row in zip(counts, chance):
+            whole = sum(p * c for p, c in zip(pi, row))
+            for k in range(3):
+                new[k] += n * pi[k] * row[k] / whole
+        pi = [v / sum(new) for v in new]
+    got, likelihood = langmix.shares(counts, chance, rounds=5)
+    assert got == pytest.approx(pi)
+    expected = sum(n * np.log(sum(p * c for p, c in zip(pi, row))) for n, row in zip(counts, chance))
+    assert likelihood == pytest.approx(expected)
+
+
+def test_quality_posteriors_of_given_evidence(spark):
+    """Means of hosts and paths, and scores, computed anew from the evidence column."""
+    got = queries.op2_quality(spark, SF_DIR).toPandas().fillna({"host": "-", "path": "-"})
+    prior = got.evidence.mean()
+
+    def strength(groups, mean):
+        inside = mean * (1 - mean)
+        between = max((groups.n * (groups.good / groups.n - mean) ** 2).sum() - np.sum(inside * np.ones(len(groups))), 0)
+        between /= groups.n.sum()
+        scale = (groups.n * inside).sum() / groups.n.sum()
+        return min(max(scale / between - 1, 1), 1e4) if between > 0 else 1e4
+
+    hosts = got.groupby("host").evidence.agg(good="sum", n="count")
+    k = strength(hosts, prior)
+    hosts["host_mean"] = (hosts.good + k * prior) / (hosts.n + k)
+    paths = got.groupby(["host", "path"]).evidence.agg(good="sum", n="count").join(hosts.host_mean)
+    k = strength(paths, paths.host_mean)
+    paths["path_mean"] = (paths.good + k * paths.host_mean) / (paths.n + k)
+    both = got.merge(paths.reset_index(), on=["host", "path"], suffixes=("", "_own"))
+    assert len(both) == len(got) == 1000
+    assert both.host_mean.to_numpy() == pytest.approx(both.host_mean_own.to_numpy())
+    assert both.path_mean.to_numpy() == pytest.approx(both.path_mean_own.to_numpy())
+    others = (both.good - both.evidence + k * both.host_mean_own) / (both.n - 1 + k)
+    odds = both.evidence / (1 - both.evidence) * others / (1 - others) / (prior / (1 - prior))
+    assert both.score.to_numpy() == pytest.approx((odds / (1 + odds)).to_numpy())
+
+
+def test_quality_of_held_out_documents(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    fifth = F.crc32(F.col("doc_id").cast("string")) % 5
+    found = quality.site_quality(docs, labels.where(fifth != 0), F.col("source"), F.col("lang"))
+    held = found.join(labels.where(fifth == 0), "doc_id").toPandas()
+    assert len(held) > 20 and (held.keep == (held.quality == 1)).mean() > 0.95
