@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -23,6 +23,10 @@ STATE_STORE = {
 ENDS = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 # How long a deleted key is remembered, in which an older change of it may still come.
 TOMBSTONE_MS = 7 * 24 * 3600 * 1000
+# The time that a deleted key is remembered ends at one of so many steps.
+TOMBSTONE_STEPS = 16
+# Keys are dealt over so many groups, each of which a micro-batch hands over in one call.
+STATE_GROUPS = 1024
 
 
 @contextmanager
@@ -43,44 +47,89 @@ def started_with(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 
 class NewestChange(StatefulProcessor):
     """Lets the newest change of a key through if no newer one came before. The state of a key is
-    its last sequence; that of a deleted key goes after a while."""
-
-    def __init__(self, op: str, seq: str, delete: str, tombstone_ms: int):
-        self.op, self.seq, self.delete, self.tombstone_ms = op, seq, delete, tombstone_ms
+    its last sequence; that of a deleted key goes after a while.
+
+    A call is for a group of keys, and their states are one value, an Arrow table: what a call and a
+    look into the store cost is paid by group, not by key. A micro-batch rewrites the groups it
+    touches."""
+
+    def __init__(
+        self,
+        names: Sequence[str],
+        keys: Sequence[str],
+        op: str,
+        seq: str,
+        delete: str,
+        tombstone_ms: int,
+        groups: int,
+    ):
+        self.key_at = [names.index(k) for k in keys]
+        self.op_at, self.seq_at = names.index(op), names.index(seq)
+        self.delete, self.tombstone_ms, self.groups = delete, tombstone_ms, groups
+        self.step_ms = max(1, tombstone_ms // TOMBSTONE_STEPS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "seq long, deleted boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = None
-        for part in rows:  # a hot key comes in many parts, of which one row is kept
-            part = part[part[self.seq].notna()]
-            if len(part):
-                top = part.loc[[part[self.seq].idxmax()]]
-                if newest is None or top[self.seq].iloc[0] > newest[self.seq].iloc[0]:
-                    newest = top
-        if newest is None:
-            return
-        seq, deleted = int(newest[self.seq].iloc[0]), newest[self.op].iloc[0] == self.delete
-        known = self.last.get() if self.last.exists() else None
-        if known is not None and seq <= known[0]:
-            return
-        self.last.update((seq, bool(deleted)))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if deleted:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.tombstone_ms)
-        yield newest
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists() and self.last.get()[1]:
+        self.last = handle.getValueState("last", "groups int, keys binary")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest = {}
+        for row in rows:  # a hot key has many, of which one is kept
+            values = tuple(row)
+            changed, seq = tuple([values[i] for i in self.key_at]), values[self.seq_at]
+            if changed not in newest or seq > newest[changed][0]:
+                newest[changed] = seq, row
+        known, let_through, any_deleted = self._known(), [], False
+        # remembered at least so long; a step has one time for all its keys
+        until = timerValues.getCurrentProcessingTimeInMs() + self.tombstone_ms
+        until = -(-until // self.step_ms) * self.step_ms
+        for changed, (seq, row) in newest.items():
+            if changed in known and seq <= known[changed][0]:
+                continue
+            deleted = row[self.op_at] == self.delete
+            known[changed] = seq, until if deleted else None
+            any_deleted |= deleted
+            let_through.append(row)
+        if let_through:
+            self._keep(known)
+        if any_deleted:
+            self.handle.registerTimer(until)
+        return iter(let_through)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        known = self._known()
+        left = {k: v for k, v in known.items() if v[1] is None or v[1] > now}
+        if not left:
             self.last.clear()
+        elif len(left) < len(known):
+            self._keep(left)
         return iter(())
 
     def close(self) -> None:
         pass
 
+    def _known(self) -> dict[tuple, tuple[int, int | None]]:
+        """Sequence of each key of the group, and the time at which a deleted one is forgotten."""
+        stored = self.last.get()
+        if stored is None:
+            return {}
+        groups, packed = stored
+        if groups != self.groups:
+            raise ValueError(f"the checkpoint was made with {groups} groups, not {self.groups}")
+        with pa.ipc.open_stream(bytes(packed)) as reader:
+            *keys, seqs, untils = [c.to_pylist() for c in reader.read_all().columns]
+        return dict(zip(zip(*keys), zip(seqs, untils)))
+
+    def _keep(self, known: Mapping[tuple, tuple[int, int | None]]) -> None:
+        columns = [pa.array(c) for c in zip(*known)]
+        columns += [pa.array(c, pa.int64()) for c in zip(*known.values())]
+        table = pa.table(columns, names=[str(i) for i in range(len(columns))])
+        packed = pa.BufferOutputStream()
+        with pa.ipc.new_stream(packed, table.schema) as writer:
+            writer.write_table(table)
+        self.last.update((self.groups, packed.getvalue().to_pybytes()))
+
 
 def newest_changes(
     changes: DataFrame,
@@ -89,18 +138,23 @@ def newest_changes(
     seq: str = SEQ,
     delete: str = DELETE,
     tombstone_ms: int = TOMBSTONE_MS,
+    groups: int = STATE_GROUPS,
 ) -> DataFrame:
     """The changes of a stream that are newer than all before them of their key: at most one per key
     and micro-batch, whatever order they come in. A NULL key or sequence is left out.
 
     Each task keeps its keys' last sequences in a RocksDB store, which the stream must be started
-    with (see `STATE_STORE`) and which Spark saves beside the checkpoint.
+    with (see `STATE_STORE`) and which Spark saves beside the checkpoint. The keys are dealt over
+    `groups`, whose number a checkpoint is bound to: small micro-batches over very many keys want more.
     """
     rows = changes
-    for key in keys:
-        rows = rows.where(F.col(key).isNotNull())
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=NewestChange(op, seq, delete, tombstone_ms),
+    for column in (*keys, seq):
+        rows = rows.where(F.col(column).isNotNull())
+    group = F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")
+    return rows.withColumn("_group", group).groupBy("_group").transformWithState(
+        statefulProcessor=NewestChange(
+            changes.columns, keys, op, seq, delete, tombstone_ms, groups
+        ),
         outputStructType=changes.schema,
         outputMode="Update",
         timeMode="ProcessingTime",
@@ -117,10 +171,11 @@ def stream_apply_newest(
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
     tombstone_ms: int = TOMBSTONE_MS,
+    groups: int = STATE_GROUPS,
 ) -> StreamingQuery:
     """Fold creates, updates and deletes into `target`. The stream's state keeps late changes back,
     so the target needs no sequence column: rows come to it in their order."""
-    newest = newest_changes(changes, target.keys, op, seq, delete, tombstone_ms)
+    newest = newest_changes(changes, target.keys, op, seq, delete, tombstone_ms, groups)
     marked = newest.withColumn(DELETED, F.col(op) == delete)
     with started_with(changes.sparkSession, STATE_STORE | (ENDS if available_now else {})):
         return stream_upsert(marked, target, checkpoint, available_now, interval, "update")

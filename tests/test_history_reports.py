@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -13,7 +14,7 @@ from martloom.sinks.loads import checked_load
 from martloom.sinks.staging import StagingTable
 from martloom.sources.change_log import ChangeLogReader, read_change_log
 from martloom.sources.changes import change_schema
-from martloom.specs import INT, TEXT, Reference, TableSpec
+from martloom.specs import DOUBLE, INT, LONG, TEXT, TIME, Reference, TableSpec
 from martloom.streaming.state import newest_changes, stream_apply_newest, window_totals
 from martloom.streaming.upsert import stream_changes
 
@@ -212,6 +213,62 @@ def test_state_keeps_late_changes_back(spark, tmp_path):
         newest_changes(stream_changes(spark, SPEC, source), ["k9"])
 
 
+def _applied(spark, tmp_path, spec, data, target, **more):
+    source = str(tmp_path / "in")
+    spark.createDataFrame(data, change_schema(spec)).coalesce(1).write.mode("append").parquet(source)
+    stream = stream_changes(spark, spec, source)
+    query = stream_apply_newest(stream, target, str(tmp_path / "cp"), available_now=True, **more)
+    query.awaitTermination()
+    return query.recentProgress
+
+
+def test_state_is_called_and_kept_by_group(spark, tmp_path):
+    """What a call costs is not paid by key: 3000 deleted keys have a value and a timer by group."""
+    target = StagingTable.of(str(tmp_path / "t"), SPEC)
+    gone = [("delete", i, f"k{i}", None) for i in range(3000)]
+    kept = [("create", 5000 + i, f"n{i}", i) for i in range(10)]
+    progress = _applied(spark, tmp_path, SPEC, gone + kept, target)
+    stored = [p["stateOperators"][0] for p in progress if p["stateOperators"]]
+    assert stored and max(p["numRowsTotal"] for p in stored) < 3000
+    assert found(target.current(spark)) == [(f"n{i}", i) for i in range(10)]
+    late = [("update", 1, f"k{i}", 1) for i in range(2, 3000)] + [("update", 6000, "k7", 7)]
+    _applied(spark, tmp_path, SPEC, late, target)
+    assert found(target.current(spark)) == sorted([("k7", 7), *((f"n{i}", i) for i in range(10))])
+
+
+def test_state_lets_values_through_as_they_are(spark, tmp_path):
+    """Long numbers beside NULL, NaN apart from NULL, keys of several types."""
+    spec = TableSpec("t", dict(k=TEXT, at=TIME, n=LONG, d=DOUBLE), key=("k", "at"))
+    target, big = StagingTable.of(str(tmp_path / "t"), spec), 2**53 + 1
+    _applied(spark, tmp_path, spec, [
+        ("create", big, "a", at(0), big, float("nan")), ("create", big - 1, "a", at(0), 1, 1.0),
+        ("create", None, "a", at(0), None, None), ("create", 1, "a", at(1), None, None),
+    ], target)
+    _applied(spark, tmp_path, spec, [
+        ("update", big - 1, "a", at(0), 2, 2.0), ("update", 2, "a", at(1), big, None),
+    ], target)
+    assert [tuple(map(str, r)) for r in found(target.current(spark))] == [
+        ("a", str(at(0)), str(big), "nan"), ("a", str(at(1)), str(big), "None"),
+    ]
+
+
+def test_deleted_keys_are_forgotten_after_a_while(spark, tmp_path):
+    target = StagingTable.of(str(tmp_path / "t"), SPEC)
+    short = dict(tombstone_ms=1, groups=1)
+    _applied(spark, tmp_path, SPEC, [("delete", 9, "a", None), ("create", 9, "b", 1)], target, **short)
+    time.sleep(0.1)
+    # the timer is looked at after the rows of a micro-batch: `a` is still known in this one
+    _applied(spark, tmp_path, SPEC, [("update", 5, "a", 5), ("delete", 10, "b", None)], target, **short)
+    assert found(target.current(spark)) == []
+    _applied(spark, tmp_path, SPEC, [("update", 5, "a", 6), ("create", 11, "b", 2)], target, **short)
+    # `b` lives again: its state stays
+    _applied(spark, tmp_path, SPEC, [("create", 1, "c", 1)], target, **short)
+    _applied(spark, tmp_path, SPEC, [("update", 3, "b", 9), ("update", 4, "a", 9)], target, **short)
+    assert found(target.current(spark)) == [("a", 6), ("b", 2), ("c", 1)]
+    with pytest.raises(Exception, match="1 groups, not 2"):
+        _applied(spark, tmp_path, SPEC, [("update", 30, k, 9) for k in "abcdefghij"], target, groups=2)
+
+
 def test_windows_drop_late_rows(spark, rows, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "t timestamp_ntz, k string, v long"
