@@ -12,7 +12,7 @@ from martloom.operators import lookup as L
 from martloom.operators.keys import stable_keys as assign_stable_keys
 from martloom.operators.rows import smallest_per_key
 from martloom.plans import star
-from martloom.shared import side_by_side
+from martloom.shared import side_by_side, written
 
 LINE_KEY = ["order_id", "order_item_id"]
 
@@ -124,10 +124,11 @@ def fact_unknown_member(spark, sf_dir):
 
 
 def fact_refresh(spark, sf_dir):
-    """A first run over the lines of dear price, a second one over all lines."""
-    items, orders, dims = _fact_inputs(spark, sf_dir)
-    first = star.build_fact_order_item(items.where("price >= 30000"), orders, dims)
-    return star.build_fact_order_item(items, orders, dims, existing=first)
+    """A first run over the lines of dear price, a second one over all lines. Both look the lines up in
+    the same tables, which is done once."""
+    lines = written(star.fact_lines(*_fact_inputs(spark, sf_dir)), "looked_up")
+    first = star.number_lines(lines.where("item_price >= 30000"), stored=True)
+    return star.number_lines(lines, existing=first)
 
 
 def fact_rejects(spark, sf_dir):

@@ -21,16 +21,19 @@ def assign_keys(
     start: int = 0,
     key_type: str = "int",
     partitions: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add `key` = start + 1 ... start + n, ascending by `natural` (unique, NULLs first).
 
     The rows are written once to the shared folder: the bounds of the range shuffle are sampled
-    from that copy, so `df` is computed once whatever it costs. One range shuffle sorts the rows;
+    from that copy, so `df` is computed once whatever it costs. A `df` that only reads and filters a
+    written table is `stored`: it is read twice and not copied. One range shuffle sorts the rows;
     each task numbers its own and the numbered rows are written again, which fixes them. The
     driver then sees one count per task, never a row, and the running total of the counts turns
     task positions into dense keys without any single-task sort.
     """
-    df = written(df, "unnumbered")
+    if not stored:
+        df = written(df, "unnumbered")
     order = [F.col(c).asc_nulls_first() for c in natural]
     spread = (partitions, *order) if partitions else order
     placed = written(

@@ -206,6 +206,17 @@ def build_fact_order_item(
     key and take the new values where `items` holds them again; only new lines are sorted and
     numbered.
     """
+    return number_lines(fact_lines(items, orders, dims, on_missing), existing)
+
+
+def fact_lines(
+    items: DataFrame,
+    orders: DataFrame,
+    dims: Mapping[str, DataFrame],
+    on_missing: str = "drop",
+) -> DataFrame:
+    """The rows of the fact table before they are numbered. Several runs over the same orders and
+    dimensions can share them, written once."""
     rows = _looked_up(items, orders, dims)
     if on_missing == "drop":
         rows = require_not_null(rows, LOOKUPS)
@@ -213,22 +224,28 @@ def build_fact_order_item(
         rows = rows.withColumns({k: F.coalesce(k, F.lit(UNKNOWN_KEY)) for k in LOOKUPS})
     else:
         raise ValueError(f"unknown on_missing {on_missing!r}")
-    rows = rows.select(*FACT_ORDER_ITEM.columns[1:])
+    return rows.select(*FACT_ORDER_ITEM.columns[1:])
+
+
+def number_lines(
+    rows: DataFrame, existing: DataFrame | None = None, stored: bool = False
+) -> DataFrame:
+    """`rows` of `fact_lines` with their keys, merged into `existing`; `stored` says that they only
+    read and filter a written table."""
     line, key = ["order_id", "order_item_id"], "order_item_fact_key"
     if existing is None:
-        return project(assign_keys(rows, line, key, key_type="long"), FACT_ORDER_ITEM)
-    # one join tells new lines from known ones and is written; only the new ones are sorted
-    old = existing.select(*line, F.struct(key, *rows.columns[2:]).alias("_old"))
-    new = rows.select(*line, F.struct(*rows.columns[2:]).alias("_new"))
-    both = written(old.join(new, line, "full_outer"), "lines")
-    values = [
-        F.coalesce("_new", F.struct(*[f"_old.{c}" for c in rows.columns[2:]]))[c].alias(c)
-        for c in rows.columns[2:]
-    ]
-    known = both.where("_old IS NOT NULL").select(F.col(f"_old.{key}").alias(key), *line, *values)
-    fresh = both.where("_old IS NULL").select(*line, *values)
+        keyed = assign_keys(rows, line, key, key_type="long", stored=stored)
+        return project(keyed, FACT_ORDER_ITEM)
+    # one join tells new lines from known ones; it is written with one value of each column, and
+    # only the new lines are sorted
+    values = rows.columns[2:]
+    old = existing.select(key, *line, *[F.col(c).alias(f"_old_{c}") for c in values])
+    taken = [F.when(F.col("_new"), F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in values]
+    both = old.join(rows.withColumn("_new", F.lit(True)), line, "full_outer")
+    both = written(both.select(key, *line, *taken), "lines")
+    known, fresh = both.where(F.col(key).isNotNull()), both.where(F.col(key).isNull()).drop(key)
     start = last_key(known, key)
-    return known.unionByName(assign_keys(fresh, line, key, start, key_type="long"))
+    return known.unionByName(assign_keys(fresh, line, key, start, key_type="long", stored=True))
 
 
 def fact_rejects(

@@ -3,9 +3,12 @@ from decimal import Decimal
 
 import pytest
 
+from checks import standins, star_queries
+from martloom.operators import keys
 from martloom.operators.quality import check_table, key_violations
 from martloom.plans import star
 from martloom.plans.ingest import ingest
+from martloom.shared import written
 from martloom.specs import STAR_TABLES
 from test_sources_ingest import csv_tables
 
@@ -170,6 +173,69 @@ def test_lines_are_looked_up_once_per_refresh(spark, built):
     assert ran.value == items.count()
 
 
+def _fact(rows, data):
+    schema = (
+        "order_item_fact_key long, order_id string, order_item_id int, product_key int, customer_key int,"
+        " seller_key int, order_status_key int, item_price decimal(12,2), freight_value decimal(12,2)"
+    )
+    return rows([(k, o, i, *keys, *map(_money, sums)) for k, o, i, keys, sums in data], schema)
+
+
+def _money(text):
+    return None if text is None else Decimal(text)
+
+
+def test_numbered_lines_take_all_values_of_the_newer_run(rows):
+    """A value that is NULL in the newer run replaces the older one; lines of one run only stay."""
+    old = _fact(rows, [(1, "a", 1, (1, 1, 1, 1), ("5", "6")), (2, "a", 2, (1, 1, 1, 1), ("7", "8"))])
+    new = _fact(
+        rows, [(None, "a", 2, (2, 3, 4, 5), (None, "1")), (None, "0", 1, (1, 1, 1, 1), ("2", "2"))]
+    ).drop("order_item_fact_key")
+    got = star.number_lines(new, old)
+    assert got.dtypes == old.dtypes
+    assert found(got) == [
+        (1, "a", 1, 1, 1, 1, 1, Decimal("5.00"), Decimal("6.00")),
+        (2, "a", 2, 2, 3, 4, 5, None, Decimal("1.00")),
+        (3, "0", 1, 1, 1, 1, 1, Decimal("2.00"), Decimal("2.00")),
+    ]
+
+
+def test_refresh_writes_each_line_once_per_step(rows, monkeypatch):
+    """The joined lines hold one value of each column; the new ones among them are not copied."""
+    kept = {}
+
+    def noted(df, purpose):
+        assert purpose not in kept
+        kept[purpose] = df.columns
+        return written(df, purpose)
+
+    monkeypatch.setattr(star, "written", noted)
+    monkeypatch.setattr(keys, "written", noted)
+    fact = _fact(rows, [(1, "a", 1, (1, 1, 1, 1), ("5", "6")), (2, "b", 1, (1, 1, 1, 1), ("7", "8"))])
+    again = star.number_lines(fact.drop("order_item_fact_key"), fact.where("order_id = 'a'"))
+    assert [r[:2] for r in found(again)] == [(1, "a"), (2, "b")]
+    assert kept == {"lines": fact.columns, "keys": [*fact.columns[1:], "_slot"]}
+
+
+def test_runs_of_the_refresh_query_share_their_lookups(spark, monkeypatch):
+    """Two runs over the same tables read and reduce the order lines once."""
+    ran, given = spark.sparkContext.accumulator(0), standins.order_items_raw
+
+    def seen(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    def counted(spark, sf_dir):
+        lines = given(spark, sf_dir)
+        return lines.mapInArrow(seen, lines.schema)
+
+    monkeypatch.setattr(standins, "order_items_raw", counted)
+    folder = "/root/testdata/sf0.001"
+    star_queries.fact_refresh(spark, folder).collect()
+    assert ran.value == given(spark, folder).count()
+
+
 def test_keys_of_dimensions_may_be_long(rows):
     customers = rows(
         [("c1", "u", "z", "c", "s")],
